@@ -137,8 +137,7 @@ wd: Western Economic Diversification Canada
 MANUAL_ERROR_CONTRACT_IDS = ["pspc-0000101859"]
 
 # --- fixed values: report range and sizes -----------------------------------
-REPORT_START_YEAR = 2010
-REPORT_END_YEAR = 2019
+REPORT_YEARS = (2010, 2019)
 TOP_VENDORS = 200
 TOP_VENDORS_BY_YEAR = 10
 SMALL_CONTRACT_LIMIT = 25000

@@ -65,15 +65,15 @@ def repaired_end(start: Column, end: Column, source_year: Column) -> Column:
     return F.when(last < first, F.greatest(first, F.coalesce(source_year, first))).otherwise(last)
 
 
-def year_axis() -> Column:
-    return F.sequence(F.lit(fixed.REPORT_START_YEAR), F.lit(fixed.REPORT_END_YEAR))
+def year_axis(years: tuple[int, int] = fixed.REPORT_YEARS) -> Column:
+    return F.sequence(F.lit(years[0]), F.lit(years[1]))
 
 
-def fiscal_axis() -> Column:
+def fiscal_axis(years: tuple[int, int] = fixed.REPORT_YEARS) -> Column:
     """All quarter labels of the report range, as an array."""
     return F.flatten(
         F.transform(
-            year_axis(),
+            year_axis(years),
             lambda y: F.transform(
                 F.sequence(F.lit(1), F.lit(4)),
                 lambda q: F.concat(

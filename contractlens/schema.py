@@ -3,8 +3,20 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(text.split()))
+    """'name TYPE, ...' without needing a running session."""
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 CONTRACTS = _struct(
