@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["rules", "reports"]
+MODULES = ["rules", "reports", "cleaning"]
 
 
 def _merged(name: str) -> dict:

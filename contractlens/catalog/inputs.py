@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from contractlens.operators.flags import flag_data_errors
 from contractlens.plans.store import build_store
 from contractlens.session import scratch_path
-from contractlens.sources.tables import contracts_view
+from contractlens.sources.tables import contracts_view, table
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
 
 _STORES: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -28,3 +35,11 @@ def store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             spark, contracts_view(spark, folder), scratch_path(spark, "store")
         )
     return _STORES[key]
+
+
+def derived(spark: SparkSession, folder: str, select: str) -> DataFrame:
+    """Rows that a SELECT makes of the tables; the checks embed the same SELECT."""
+    for name in TABLES:
+        if re.search(rf"\b{name}\b", select):
+            table(spark, folder, name).createOrReplaceTempView(name)
+    return spark.sql(select)

@@ -6,7 +6,7 @@ from contractlens.catalog.inputs import store
 from contractlens.catalog.sql_text import after
 from contractlens.operators import reports as r
 
-YEARS = (1993, 1997)
+YEARS = (1996, 2002)
 OWNER = "nation_3"
 VENDOR = "BUILDING 3"
 

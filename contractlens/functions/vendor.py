@@ -1,7 +1,5 @@
 """Vendor names."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,13 +11,20 @@ def company_suffixes() -> list[str]:
     return [s.strip() for s in fixed.COMPANY_SUFFIXES.replace("\n", " ").split(",")]
 
 
-def _drop_suffix(name: Column, suffix: str) -> Column:
-    at_end = F.regexp_replace(name, f" {suffix}$", "")
-    return F.replace(at_end, F.lit(f" {suffix} "), F.lit(" "))
+def _drop_suffix(name: Column, suffix: Column) -> Column:
+    ending = F.concat(F.lit(" "), suffix)
+    cut = F.left(name, F.length(name) - F.length(ending))
+    at_end = F.when(F.endswith(name, ending), cut).otherwise(name)
+    return F.replace(at_end, F.concat(ending, F.lit(" ")), F.lit(" "))
 
 
 def clean_vendor_name(name: Column) -> Column:
-    """Upper-case words without company suffixes. The suffix order matters."""
-    spaced = F.replace(name, F.lit("/"), F.lit(" / "))
-    words = F.upper(slug(spaced, " "))
-    return F.trim(reduce(_drop_suffix, company_suffixes(), words))
+    """Upper-case words without company suffixes. The suffix order matters.
+
+    Names without any suffix word skip the walk over the list.
+    """
+    words = F.upper(slug(F.replace(name, F.lit("/"), F.lit(" / ")), " "))
+    suffixes = company_suffixes()
+    walked = F.aggregate(F.array(*[F.lit(s) for s in suffixes]), words, _drop_suffix)
+    has_suffix = words.rlike(f" ({'|'.join(dict.fromkeys(suffixes))})( |$)")
+    return F.trim(F.when(has_suffix, walked).otherwise(words))
