@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["rules", "reports", "cleaning"]
+MODULES = ["rules", "reports", "cleaning", "ingest"]
 
 
 def _merged(name: str) -> dict:

@@ -164,7 +164,8 @@ CSV_POSITIONS = """
 """
 
 # --- fixed values: label text on a contract page -> field -------------------
-# "common" holds for every department; a department's own line wins over it.
+# "common" holds for every department; a department's own line for a field takes
+# its place, and a line with "-" says that its pages have no such field.
 PAGE_LABELS = """
 common | Vendor Name | vendorName
 common | Reference Number | referenceNumber
@@ -224,6 +225,16 @@ stats | Vendor | vendorName
 stats | Detailed Description | extraDescription
 tbs | Detailed Description | extraDescription
 wddeo | Contract Period / Delivery Date | contractPeriodRange
+wddeo | - | deliveryDate
+cbsa | - | originalValue
+cc | - | deliveryDate
+cc | - | originalValue
+cc | - | comments
+cfia | - | contractPeriodRange
+dnd | - | originalValue
+esdc | - | originalValue
+irccpc | - | originalValue
+sc | - | originalValue
 """
 DEFAULT_LABEL_OWNERS = "acoa agr csa csps ec inac ircc ppsc ps rcmp tc"
 

@@ -25,6 +25,11 @@ def clean_vendor_name(name: Column) -> Column:
     """
     words = F.upper(slug(F.replace(name, F.lit("/"), F.lit(" / ")), " "))
     suffixes = company_suffixes()
-    walked = F.aggregate(F.array(*[F.lit(s) for s in suffixes]), words, _drop_suffix)
-    has_suffix = words.rlike(f" ({'|'.join(dict.fromkeys(suffixes))})( |$)")
-    return F.trim(F.when(has_suffix, walked).otherwise(words))
+    has_suffix = f" ({'|'.join(dict.fromkeys(suffixes))})( |$)"
+
+    def without_suffixes(word: Column) -> Column:
+        walked = F.aggregate(F.array(*[F.lit(s) for s in suffixes]), word, _drop_suffix)
+        return F.trim(F.when(word.rlike(has_suffix), walked).otherwise(word))
+
+    # a one-element array lets the words be worked out once and used three times
+    return F.transform(F.array(words), without_suffixes)[0]

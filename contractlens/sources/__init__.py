@@ -1,0 +1 @@
+"""Readers and writers of the files that contracts come from and go to."""
