@@ -1,0 +1 @@
+"""Restartable loading of new pages and departments."""
