@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["rules", "reports", "cleaning", "ingest", "series", "streams"]
+MODULES = ["rules", "reports", "cleaning", "ingest", "pages", "series", "streams"]
 
 
 def _merged(name: str) -> dict:
