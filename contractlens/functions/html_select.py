@@ -107,10 +107,18 @@ def _step(nodes, deep, tag, conditions):
     return sorted(out, key=lambda n: n.start)
 
 
+def select_many(html: str, paths: list[str]) -> list[list[str]]:
+    """Inner HTML of all matches of each path, in document order; the page is read once."""
+    root = _Tree(html).root
+    out = []
+    for path in paths:
+        nodes = [root]
+        for slashes, tag, brackets in STEP.findall(path):
+            conditions = re.findall(r"\[([^\]]*)\]", brackets)
+            nodes = _step(nodes, slashes == "//", tag, conditions)
+        out.append([html[n.start : n.end] for n in nodes])
+    return out
+
+
 def select(html: str, path: str) -> list[str]:
-    """Inner HTML of all matches, in document order."""
-    nodes = [_Tree(html).root]
-    for slashes, tag, brackets in STEP.findall(path):
-        conditions = re.findall(r"\[([^\]]*)\]", brackets)
-        nodes = _step(nodes, slashes == "//", tag, conditions)
-    return [html[n.start : n.end] for n in nodes]
+    return select_many(html, [path])[0]

@@ -10,11 +10,12 @@ a later entry may gather an earlier one that gathered nothing itself.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractlens.operators.claims import accepted_rows
-from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size
+from contractlens.operators.claims import TAIL_ROWS, accepted_rows, at_most
+from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
 from contractlens.session import cut_lineage
 
 GROUP = ["owner_acronym", "gen_vendor_normalized"]
@@ -44,7 +45,7 @@ def _linked(gatherer: Column, row: Column) -> Column:
 def _fold(rows: DataFrame) -> DataFrame:
     """Groups of bounded size: `owner_of[i]` is the position of entry i's gatherer."""
     others = [c for c in rows.columns if c not in (*GROUP, "source_fiscal", "id")]
-    grouped = rows.groupBy(*GROUP).agg(
+    grouped = together(rows, GROUP).groupBy(*GROUP).agg(
         F.array_sort(F.collect_list(F.struct("source_fiscal", "id", *others))).alias("entries")
     )
     entries = F.col("entries")
@@ -82,7 +83,84 @@ def _fold(rows: DataFrame) -> DataFrame:
     return flat.select(*rows.columns, *_flags(F.col("_group_id")))
 
 
-def _join_rounds(rows: DataFrame) -> DataFrame:
+def _judge(group: pd.DataFrame) -> pd.DataFrame:
+    """Whether each open acting entry of one group gathers, in order.
+
+    A child always comes before its parent, so one walk settles all of them.
+    """
+    gathers = dict(zip(group["id"], group["sure"], strict=True))
+    open_ids = set(group.loc[group["waits"], "id"])
+    ordered = group.sort_values(["fiscal", "id"], kind="stable")
+    for child, parent in zip(ordered["id"], ordered["parent"], strict=True):
+        if parent in open_ids and not gathers[child]:
+            gathers[parent] = True
+    found = [i for i in open_ids if gathers[i]]
+    return group.loc[group["id"].isin(found), ["fiscal", "id"]]
+
+
+def _gathering(neighbours: DataFrame, tail_rows: int) -> DataFrame:
+    """(d): the acting entries that gather something.
+
+    An acting entry surely gathers when an entry that does not act falls to it. The
+    others gather exactly when an acting entry that falls to them gathers nothing,
+    which is settled from the earliest entries upwards.
+    """
+    surely = neighbours.filter(~F.col("acts")).select(F.col("neighbour").alias("n")).distinct()
+    acting = cut_lineage(
+        neighbours.filter("acts")
+        .join(surely, F.col("ord") == F.col("n"), "left")
+        .select("grp", "ord", "neighbour", F.col("n").isNotNull().alias("sure"))
+    )
+    done = acting.filter("sure").select(F.col("ord").alias("d"))
+    # only entries that wait, and the acting entries that fall to them, are looked at
+    unsure = acting.filter(~F.col("sure")).select(F.col("ord").alias("u"))
+    parents = acting.join(unsure, F.col("neighbour") == F.col("u")).select(F.col("u")).distinct()
+    judged = cut_lineage(
+        acting.join(parents, F.col("ord") == F.col("u"), "left")
+        .withColumnRenamed("u", "as_parent")
+        .join(parents, F.col("neighbour") == F.col("u"), "left")
+        .filter(F.col("as_parent").isNotNull() | F.col("u").isNotNull())
+        .select(
+            "grp", "ord", "sure", F.col("u").alias("parent"),
+            (F.col("as_parent").isNotNull() & ~F.col("sure")).alias("waits"),
+        )
+    )
+    if tail_rows and at_most(judged, tail_rows):
+        flat = judged.select(
+            "grp", F.col("ord.source_fiscal").alias("fiscal"), F.col("ord.id").alias("id"),
+            F.col("parent.id").alias("parent"), "sure", "waits",
+        )
+        kind = dict(flat.dtypes)["id"]
+        found = flat.groupBy("grp").applyInPandas(_judge, f"fiscal string, id {kind}")
+        return done.union(
+            found.select(F.struct(F.col("fiscal").alias("source_fiscal"), "id").alias("d"))
+        )
+    decided = judged.filter(~F.col("waits")).select("ord", F.col("sure").alias("gathers"))
+    waiting = judged.filter("waits").select("ord")
+    links = judged.filter(F.col("parent").isNotNull()).select(F.col("ord").alias("child"), "parent")
+    while not waiting.isEmpty():
+        state = (
+            links.join(
+                decided.select(F.col("ord").alias("d"), "gathers"), F.col("child") == F.col("d"), "left"
+            )
+            .groupBy("parent")
+            .agg(
+                F.coalesce(F.bool_or(~F.col("gathers")), F.lit(False)).alias("takes_child"),
+                F.bool_or(F.col("gathers").isNull()).alias("child_open"),
+            )
+        )
+        settled = cut_lineage(
+            waiting.join(state, F.col("ord") == F.col("parent"), "left").select(
+                "ord",
+                F.when(F.col("takes_child"), True).when(~F.col("child_open"), False).alias("gathers"),
+            )
+        )
+        waiting = settled.filter(F.col("gathers").isNull()).select("ord")
+        decided = cut_lineage(decided.union(settled.filter(F.col("gathers").isNotNull())))
+    return done.union(decided.filter("gathers").select("ord")).distinct()
+
+
+def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
     """Groups of any size.
 
     An entry acts (gathers) when no earlier acting entry holds its reference number
@@ -101,7 +179,7 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
         wanted.alias("read_2"),
         offered.alias("write_2"),
     )
-    acting = cut_lineage(accepted_rows(keyed).select("ord", "read_2", "write_1", "write_2"))
+    acting = accepted_rows(keyed, GROUP, tail_rows).select("ord", "write_1", "write_2")
 
     by_reference = acting.select(F.col("write_1").alias("key_1"), F.col("ord").alias("act_1"))
     first_offer = acting.groupBy(F.col("write_2").alias("key_2")).agg(F.min("ord").alias("act_2"))
@@ -123,6 +201,7 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
         .join(offers, F.col("read_2").eqNullSafe(F.col("key_2")), "left")
         .select(
             "ord",
+            F.to_json(F.struct(*[F.col(f"read_1.{c}") for c in GROUP])).alias("grp"),
             F.coalesce(F.col("act_1") == F.col("ord"), F.lit(False)).alias("acts"),
             F.least(
                 F.when(F.col("act_1") != F.col("ord"), F.col("act_1")),
@@ -132,50 +211,11 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
     )
     neighbours = cut_lineage(neighbours)
 
-    # Acting entries that surely gather: some entry that does not act falls to them.
-    surely = neighbours.filter(~F.col("acts")).select(F.col("neighbour").alias("n")).distinct()
-    open_rows = cut_lineage(
-        neighbours.filter("acts")
-        .join(surely, F.col("ord") == F.col("n"), "left")
-        .select("ord", "neighbour", F.col("n").isNotNull().alias("sure"))
-    )
-    # The others gather exactly when an earlier acting neighbour gathered nothing.
-    gathers = [open_rows.filter("sure").select("ord", F.lit(True).alias("gathers"))]
-    decided = cut_lineage(gathers[0])
-    waiting = cut_lineage(open_rows.filter(~F.col("sure")).select("ord"))
-    links = cut_lineage(
-        open_rows.filter(F.col("neighbour").isNotNull()).select(
-            F.col("ord").alias("child"), F.col("neighbour").alias("parent")
-        )
-    )
-    while not waiting.isEmpty():
-        known = links.join(
-            decided.select(F.col("ord").alias("d"), "gathers"), F.col("child") == F.col("d"), "left"
-        )
-        state = known.groupBy("parent").agg(
-            F.coalesce(F.bool_or(~F.col("gathers")), F.lit(False)).alias("takes_child"),
-            F.bool_or(F.col("gathers").isNull()).alias("child_open"),
-        )
-        judged = cut_lineage(
-            waiting.join(state, F.col("ord") == F.col("parent"), "left").select(
-                "ord",
-                F.when(F.coalesce(F.col("takes_child"), F.lit(False)), True)
-                .when(~F.coalesce(F.col("child_open"), F.lit(False)), False)
-                .alias("gathers"),
-            )
-        )
-        waiting = judged.filter(F.col("gathers").isNull()).select("ord")
-        decided = cut_lineage(
-            decided.unionByName(judged.filter(F.col("gathers").isNotNull()))
-        )
-
+    gathering = _gathering(neighbours, tail_rows)
     outcome = (
-        neighbours.join(
-            decided.select(F.col("ord").alias("d"), "gathers"), F.col("ord") == F.col("d"), "left"
-        )
-        .select(
+        neighbours.join(gathering, F.col("ord") == F.col("d"), "left").select(
             F.col("ord.id").alias("_id"),
-            F.when(F.coalesce(F.col("gathers"), F.lit(False)), F.col("ord.id"))
+            F.when(F.col("d").isNotNull(), F.col("ord.id"))
             .otherwise(F.col("neighbour.id"))
             .alias("_group_id"),
         )
@@ -185,14 +225,16 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
     )
 
 
-def find_amendments(rows: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+def find_amendments(
+    rows: DataFrame, fold_limit: int = FOLD_LIMIT, tail_rows: int = TAIL_ROWS
+) -> DataFrame:
     """Add gen_is_amendment, gen_amendment_via and gen_amendment_group_id."""
     work = rows.filter(eligible(rows))
     skipped = rows.filter(~F.coalesce(eligible(rows), F.lit(False)))
     small, large = split_by_group_size(work, GROUP, fold_limit)
     out = _fold(small)
     if large is not None:
-        out = out.unionByName(_join_rounds(large))
+        out = out.unionByName(_join_rounds(large, tail_rows))
     return out.unionByName(skipped.select(*rows.columns, *_flags(F.lit(None).cast("bigint"))))
 
 

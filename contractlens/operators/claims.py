@@ -5,21 +5,32 @@ row has claimed either of them, is accepted and claims two keys itself. Taken on
 by one this is a loop over the whole group; here each round accepts every row that
 is first at both of its keys among the rows still open, and closes the rows whose
 keys were claimed. The outcome equals the loop exactly (the parallel greedy
-matching of Blelloch, Fineman and Shun, 2012); the number of rounds is the length
-of the longest chain of rows that wait for each other. Every round closes at least
-the first open row, so the loop ends. All steps are aggregates with map-side
-combine and joins, so no key is ever gathered, however large.
+matching of Blelloch, Fineman and Shun, 2012). All steps are aggregates with
+map-side combine and joins, so no key is ever gathered, however large.
+
+The open rows shrink with every round. Once at most TAIL_ROWS are left over all
+groups, each group's rest is walked in order in one last job; until then every round
+closes at least the first open row, so the loop ends for any data.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.session import cut_lineage
 
+# Rows that one job may walk in order; a bound on the whole rest, not on each group.
+TAIL_ROWS = 100_000
+
+
+def at_most(rows: DataFrame, bound: int) -> bool:
+    """Whether there are no more rows than the bound; stops counting beyond it."""
+    return rows.limit(bound + 1).count() <= bound
+
 
 def _first(rows: DataFrame, key: str, name: str) -> DataFrame:
     return rows.groupBy(F.col(key).alias(f"{name}_key")).agg(F.min("ord").alias(name))
@@ -32,20 +43,59 @@ def _with_first(rows: DataFrame, firsts: DataFrame, key: str, name: str) -> Data
     )
 
 
-def accepted_rows(candidates: DataFrame) -> DataFrame:
+def _walk(group: pd.DataFrame) -> pd.DataFrame:
+    """The loop itself, over the short rest of one group, linear in its rows."""
+    ordered = group.sort_values(["a", "b"], kind="stable")
+    taken_1, taken_2, kept = set(), set(), []
+    columns = (ordered[c] for c in ("r1", "w1", "r2", "w2"))
+    for r1, w1, r2, w2 in zip(*columns, strict=True):
+        free = r1 not in taken_1 and r2 not in taken_2
+        kept.append(free)
+        if free:
+            taken_1.add(w1)
+            taken_2.add(w2)
+    return ordered.loc[kept, ["a", "b"]]
+
+
+def _walk_rest(open_rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Accepted rows of a rest of bounded size, group by group."""
+    types = {f.name: f.dataType.simpleString() for f in open_rows.schema["ord"].dataType.fields}
+    keys = [F.to_json(F.struct(F.col(c).alias("k"))).alias(n) for c, n in
+            (("read_1", "r1"), ("write_1", "w1"), ("read_2", "r2"), ("write_2", "w2"))]
+    a, b = order
+    accepted = (
+        open_rows.select(
+            F.to_json(F.struct(*[F.col(f"read_1.{g}") for g in group])).alias("g"),
+            F.col(f"ord.{a}").alias("a"),
+            F.col(f"ord.{b}").alias("b"),
+            *keys,
+        )
+        .groupBy("g")
+        .applyInPandas(_walk, f"a {types[a]}, b {types[b]}")
+    )
+    return open_rows.join(
+        accepted, (F.col(f"ord.{a}") == F.col("a")) & (F.col(f"ord.{b}") == F.col("b")), "left_semi"
+    )
+
+
+def accepted_rows(
+    candidates: DataFrame, group: list[str], tail_rows: int = TAIL_ROWS
+) -> DataFrame:
     """The accepted rows among `candidates(ord, read_1, write_1, read_2, write_2, ...)`.
 
-    `ord` is a unique sortable struct. `write_1` must equal `read_1`, which lets rows
-    with equal read keys be reduced to their first one before anything is joined.
+    `ord` is a unique struct of two sortable fields. `write_1` must equal `read_1`,
+    which lets rows with equal read keys be reduced to their first one before anything
+    is joined. All key structs hold the `group` fields.
     """
     rest = [c for c in candidates.columns if c not in ("ord", "read_1", "read_2")]
+    order = candidates.schema["ord"].dataType.fieldNames()
     open_rows = cut_lineage(
         candidates.groupBy("read_1", "read_2")
         .agg(F.min(F.struct("ord", *rest)).alias("row"))
         .select("read_1", "read_2", "row.*")
     )
     accepted = []
-    while not open_rows.isEmpty():
+    while not at_most(open_rows, tail_rows):
         ranked = _with_first(open_rows, _first(open_rows, "write_1", "first_1"), "read_1", "first_1")
         ranked = _with_first(ranked, _first(open_rows, "write_2", "first_2"), "read_2", "first_2")
         fresh = cut_lineage(
@@ -63,6 +113,5 @@ def accepted_rows(candidates: DataFrame) -> DataFrame:
                 & F.coalesce(F.col("ord") < F.col("taken_2"), F.lit(True))
             ).drop("taken_1", "taken_2")
         )
-    if not accepted:
-        return open_rows
-    return reduce(DataFrame.unionByName, accepted)
+    accepted.append(_walk_rest(open_rows, group, order) if tail_rows else open_rows)
+    return cut_lineage(reduce(DataFrame.unionByName, accepted))

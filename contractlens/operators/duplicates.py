@@ -11,12 +11,11 @@ this is not "every row after the first of its key".
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contractlens.operators.claims import accepted_rows
-from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size
-from contractlens.session import cut_lineage
+from contractlens.operators.claims import TAIL_ROWS, accepted_rows
+from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
 
 GROUP = ["owner_acronym", "contract_value"]
 
@@ -64,8 +63,26 @@ KEPT_FIELDS = [
 ]
 
 
+def _small_groups(rows: DataFrame) -> DataFrame:
+    """Groups of bounded size, after one shuffle.
+
+    Entries that share neither rule's key with another entry are kept as they are;
+    only the others are gathered and walked.
+    """
+    purchase = Window.partitionBy(*GROUP, "gen_vendor_normalized", "raw_contract_date")
+    reference = Window.partitionBy(*GROUP, "reference_number")
+    one = F.count(F.lit(1))
+    counted = together(rows, GROUP).withColumn(
+        "_shared", (one.over(purchase) > 1) | (one.over(reference) > 1)
+    )
+    alone = counted.filter(~F.col("_shared")).select(
+        *rows.columns, *_flags(F.lit(None).cast("bigint"), F.lit(1))
+    )
+    return alone.unionByName(_fold(counted.filter("_shared").select(*rows.columns)))
+
+
 def _fold(rows: DataFrame) -> DataFrame:
-    """Groups of bounded size: sort inside the group and walk it once."""
+    """Sort inside each group and walk it once."""
     others = [c for c in rows.columns if c not in (*GROUP, "source_fiscal", "id")]
     types = dict(rows.dtypes)
     kept_type = "array<struct<" + ",".join(f"{c}:{types[c]}" for c in KEPT_FIELDS) + ">>"
@@ -101,7 +118,7 @@ def _fold(rows: DataFrame) -> DataFrame:
     )
 
 
-def _join_rounds(rows: DataFrame) -> DataFrame:
+def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
     """Groups of any size: accepted rows by rounds, then one lookup per key."""
     group = [F.col(c) for c in GROUP]
     purchase = F.struct(*group, "gen_vendor_normalized", "raw_contract_date")
@@ -115,7 +132,7 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
         reference.alias("write_2"),
         F.struct("id", "gen_vendor_normalized", "gen_start_year").alias("info"),
     )
-    kept = cut_lineage(accepted_rows(candidates).select("ord", "write_1", "write_2", "info"))
+    kept = accepted_rows(candidates, GROUP, tail_rows).select("ord", "write_1", "write_2", "info")
     by_purchase = kept.select(
         F.col("write_1").alias("key_1"), F.struct("ord", "info").alias("kept_1")
     )
@@ -146,7 +163,9 @@ def _join_rounds(rows: DataFrame) -> DataFrame:
     return joined.select(*[F.col(c) for c in rows.columns], *_flags(source, via))
 
 
-def find_duplicates(rows: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+def find_duplicates(
+    rows: DataFrame, fold_limit: int = FOLD_LIMIT, tail_rows: int = TAIL_ROWS
+) -> DataFrame:
     """Add gen_is_duplicate, gen_duplicate_via and gen_duplicate_source_id.
 
     Pass the narrow key columns rather than whole records: every column given here
@@ -155,9 +174,9 @@ def find_duplicates(rows: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
     work = rows.filter(eligible(rows))
     skipped = rows.filter(~F.coalesce(eligible(rows), F.lit(False)))
     small, large = split_by_group_size(work, GROUP, fold_limit)
-    out = _fold(small)
+    out = _small_groups(small)
     if large is not None:
-        out = out.unionByName(_join_rounds(large))
+        out = out.unionByName(_join_rounds(large, tail_rows))
     none = F.lit(None).cast("bigint")
     return out.unionByName(skipped.select(*rows.columns, *_flags(none, F.lit(1))))
 

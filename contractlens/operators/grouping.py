@@ -44,6 +44,17 @@ def split_by_group_size(
     return small, big
 
 
+def together(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring groups together over the session's full number of shuffle partitions.
+
+    The rows are few bytes but the work on them is not, so the adaptive merge of small
+    partitions would leave most cores idle. Later grouping by these or more keys needs
+    no further shuffle.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *keys)
+
+
 def numbered(
     rows: DataFrame, groups: list[str], order: list[str], bucket: Column, name: str = "seq"
 ) -> DataFrame:

@@ -6,6 +6,7 @@ broadcast table, and a record is read from its page without any shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from contractlens import fixed_values as fixed
 from contractlens.functions import dates, money, records, text
-from contractlens.functions.html_select import select
+from contractlens.functions.html_select import select_many
 from contractlens.functions.vendor import clean_vendor_name
 
 HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
@@ -108,21 +109,38 @@ def drop_broken_pages(pages: DataFrame, marker: str, html: str = "html") -> Data
 # --- selection ------------------------------------------------------------------
 
 
-def select_all(pages: DataFrame, path: Column, name: str, html: str = "html") -> DataFrame:
-    """Add the inner HTML of everything that each row's path selects, in Arrow batches."""
-    schema = T.StructType(
-        [*pages.schema.fields, T.StructField(name, T.ArrayType(T.StringType()))]
-    )
+def select_paths(pages: DataFrame, paths: dict[str, Column], html: str = "html") -> DataFrame:
+    """Add, per name, the inner HTML of everything that each row's path selects.
+
+    Runs in Arrow batches; a page is read once for all paths. Rows without a path get
+    no list.
+    """
+    names = list(paths)
+    lists = [T.StructField(name, T.ArrayType(T.StringType())) for name in names]
+    schema = T.StructType([*pages.schema.fields, *lists])
+
+    def one(page, *rules):
+        if not isinstance(page, str):
+            return [None] * len(rules)
+        known = [r for r in rules if isinstance(r, str)]
+        found = iter(select_many(page, known)) if known else iter(())
+        return [next(found) if isinstance(r, str) else None for r in rules]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                select(page, rule) if isinstance(page, str) and isinstance(rule, str) else None
-                for page, rule in zip(batch[html], batch["_path"], strict=True)
-            ]
-            yield batch.drop(columns="_path").assign(**{name: found})
+            rules = [batch[f"_path_{name}"] for name in names]
+            found = [one(*cells) for cells in zip(batch[html], *rules, strict=True)]
+            out = batch.drop(columns=[f"_path_{name}" for name in names])
+            for at, name in enumerate(names):
+                out[name] = [lists_of[at] for lists_of in found]
+            yield out
+
+    with_paths = pages.withColumns({f"_path_{name}": path for name, path in paths.items()})
+    return with_paths.mapInPandas(run, schema)
 
-    return pages.withColumn("_path", path).mapInPandas(run, schema)
+
+def select_all(pages: DataFrame, path: Column, name: str, html: str = "html") -> DataFrame:
+    return select_paths(pages, {name: path}, html)
 
 
 def content_selector(owner: Column) -> Column:
@@ -236,29 +254,34 @@ def repair_page(html: Column, owner: Column) -> Column:
     return repaired
 
 
-def label_fields() -> dict[str, str]:
-    """'owner label' -> field, with '* label' for departments without lines of their own."""
+def _clean_label(label: str) -> str:
+    return re.sub("[^0-9a-z]", "", label.lower())
+
+
+def label_fields() -> dict[str, dict[str, str]]:
+    """{department: {label: field}}, with '*' for departments without lines of their own."""
     rows = rows_of(fixed.PAGE_LABELS)
-    default_owners = fixed.DEFAULT_LABEL_OWNERS.split()
-    clean = lambda label: "".join(c for c in label.lower() if c.isdigit() or "a" <= c <= "z")
-    common = [(clean(label), field) for owner, label, field in rows if owner == "common"]
-    extra = [(clean(label), field) for owner, label, field in rows if owner == "default"]
-    out = {f"* {label}": field for label, field in common}
-    owners = {r[0] for r in rows if r[0] not in ("common", "default")} | set(default_owners)
-    for owner in sorted(owners):
-        own = [(label, field) for name, label, field in rows if name == owner]
-        replaced = {field for _, field in own}
-        for label, field in common:
-            if field not in replaced:
-                out[f"{owner} {label}"] = field
-        if owner in default_owners:
-            out.update({f"{owner} {label}": field for label, field in extra})
-        out.update({f"{owner} {clean(label)}": field for label, field in own if label != "-"})
-    return out
+    common = {field: label for owner, label, field in rows if owner == "common"}
+    extra = {field: label for owner, label, field in rows if owner == "default"}
+    own: dict[str, dict[str, str]] = {"*": {}}
+    own.update({owner: dict(extra) for owner in fixed.DEFAULT_LABEL_OWNERS.split()})
+    for owner, label, field in rows:
+        if owner not in ("common", "default"):
+            own.setdefault(owner, {})[field] = label
+    return {
+        owner: {_clean_label(label): field for field, label in {**common, **lines}.items() if label != "-"}
+        for owner, lines in own.items()
+    }
 
 
-def listed_owners() -> list[str]:
-    return sorted({key.split(" ")[0] for key in label_fields()} - {"*"})
+def _label_table(owner: Column) -> Column:
+    """The label -> field map of a row's department."""
+    tables = {
+        name: F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+        for name, labels in label_fields().items()
+    }
+    nested = F.create_map(*[x for name, m in tables.items() for x in (F.lit(name), m)])
+    return F.coalesce(F.try_element_at(nested, owner), tables["*"])
 
 
 def plain_text(html: Column) -> Column:
@@ -269,25 +292,48 @@ def plain_text(html: Column) -> Column:
     return out
 
 
-def _cells(tag: str) -> str:
-    return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
+# paths whose cells cannot hold a cell of the same kind, so a pattern finds them exactly
+PLAIN_PATH = re.compile(r"//(?:table//)?(th|td|h2|p)(?:\[@([a-z]+)='([^']*)'\])?")
+
+
+def cell_pattern(path: str) -> str | None:
+    """A pattern for the inner HTML of a plain path, or nothing for other paths."""
+    plain = PLAIN_PATH.fullmatch(path)
+    if not plain:
+        return None
+    tag, name, value = plain.groups()
+    if name is None:
+        return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
+    return rf"""(?is)<{tag}\s(?:[^>]*\s)?{name}\s*=\s*["']{re.escape(value)}["'][^>]*>(.*?)</{tag}>"""
 
 
 def label_value_arrays(pages: DataFrame) -> DataFrame:
     """Add `keys` and `cells`: the label and value cells of each page, in order.
 
-    Plain <th>/<td> tables (most departments) are read with patterns inside the JVM;
-    departments with other layouts go through the path reader.
+    Plain cells (th, td, h2, p, with or without one attribute) are found with patterns
+    inside the JVM; departments with other layouts go through the path reader.
     """
     special = {r[0]: (r[1], r[2]) for r in rows_of(fixed.PAGE_CELLS)}
     owner = F.col("owner_acronym")
-    simple = pages.filter(~owner.isin(*special))
-    simple = simple.withColumn("keys", F.regexp_extract_all("html", F.lit(_cells("th")), 1))
-    simple = simple.withColumn("cells", F.regexp_extract_all("html", F.lit(_cells("td")), 1))
-    other = pages.filter(owner.isin(*special))
-    other = select_all(other, owner_constant(owner, {k: v[0] for k, v in special.items()}), "keys")
-    other = select_all(other, owner_constant(owner, {k: v[1] for k, v in special.items()}), "cells")
-    return simple.unionByName(other)
+    read = {o: paths for o, paths in special.items() if not all(map(cell_pattern, paths))}
+    layouts: dict[tuple[str, str], list[str]] = {}
+    for name, paths in special.items():
+        if name not in read:
+            layouts.setdefault(paths, []).append(name)
+
+    def found(at: int) -> Column:
+        out = F.regexp_extract_all("html", F.lit(cell_pattern(("//table//th", "//table//td")[at])), 1)
+        for paths, owners in layouts.items():
+            own = F.regexp_extract_all("html", F.lit(cell_pattern(paths[at])), 1)
+            out = F.when(owner.isin(*owners), own).otherwise(out)
+        return out
+
+    plain = pages.filter(~owner.isin(*read)).withColumns({"keys": found(0), "cells": found(1)})
+    paths = {
+        name: owner_constant(owner, {k: v[at] for k, v in read.items()})
+        for at, name in enumerate(("keys", "cells"))
+    }
+    return plain.unionByName(select_paths(pages.filter(owner.isin(*read)), paths))
 
 
 def extract_label_values(pages: DataFrame) -> DataFrame:
@@ -297,14 +343,11 @@ def extract_label_values(pages: DataFrame) -> DataFrame:
     its cells stay in arrays.
     """
     arrays = label_value_arrays(pages)
-    table = F.create_map(*[F.lit(x) for pair in label_fields().items() for x in pair])
-    known = F.when(F.col("owner_acronym").isin(*listed_owners()), F.col("owner_acronym")).otherwise("*")
+    arrays = arrays.withColumn("_table", _label_table(F.col("owner_acronym")))
     pairs = F.transform(
         F.arrays_zip(F.col("keys").alias("key"), F.col("cells").alias("cell")),
         lambda p: F.struct(
-            F.try_element_at(
-                table, F.concat(known, F.lit(" "), text.clean_label(plain_text(p["key"])))
-            ).alias("field"),
+            F.try_element_at("_table", text.clean_label(plain_text(p["key"]))).alias("field"),
             text.remove_linebreaks(text.clean_html_value(plain_text(p["cell"]))).alias("value"),
         ),
     )

@@ -45,28 +45,32 @@ def as_dicts(rows, names=NAMES):
     return [dict(zip(names, r, strict=True)) for r in rows]
 
 
-@pytest.mark.parametrize("limit", [512, 0])
+# (fold limit, tail rows): all folded, walked as a rest, all by rounds of joins
+WAYS = [(512, 0), (0, 1000), (0, 0)]
+
+
+@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("seed", [1, 2])
-def test_duplicates(spark, seed, limit):
+def test_duplicates(spark, seed, way):
     rows = random_rows(seed)
     df = spark.createDataFrame(rows, COLUMNS)
     got = {
         r.id: (r.gen_duplicate_via, r.gen_duplicate_source_id)
-        for r in duplicates.find_duplicates(df, limit).filter("gen_is_duplicate").collect()
+        for r in duplicates.find_duplicates(df, *way).filter("gen_is_duplicate").collect()
     }
     assert got == brute.duplicates(as_dicts(rows))
 
 
-@pytest.mark.parametrize("limit", [512, 0])
+@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("seed", [3, 4])
-def test_amendments(spark, seed, limit):
+def test_amendments(spark, seed, way):
     rows = random_rows(seed, owners=12)
     rng = random.Random(seed)
     flags = [(*r, rng.random() < 0.1) for r in rows]
     df = spark.createDataFrame(flags, COLUMNS + ", gen_is_duplicate boolean")
     got = {
         r.id: (r.gen_is_amendment, r.gen_amendment_group_id)
-        for r in amendments.find_amendments(df, limit)
+        for r in amendments.find_amendments(df, *way)
         .filter("gen_amendment_group_id is not null")
         .collect()
     }
@@ -92,10 +96,10 @@ def test_amendments_by_value_chains(spark, seed):
     names = [*NAMES, "gen_is_duplicate"]
     df = spark.createDataFrame(rows, COLUMNS + ", gen_is_duplicate boolean")
     want = brute.amendments(as_dicts(rows, names))
-    for limit in (512, 0):
+    for way in WAYS:
         got = {
             r.id: (r.gen_is_amendment, r.gen_amendment_group_id)
-            for r in amendments.find_amendments(df, limit)
+            for r in amendments.find_amendments(df, *way)
             .filter("gen_amendment_group_id is not null")
             .collect()
         }
