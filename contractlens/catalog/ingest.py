@@ -42,7 +42,10 @@ def _bulk_file(spark, sf):
         F.col(f"c{i}") if f"c{i}" in known else F.lit("").alias(f"c{i}")
         for i in range(fixed.CSV_WIDTH)
     ]
-    rows.orderBy("k").select(*columns).write.option("header", True).option("escape", '"').csv(path)
+    # one file per core, in key order: bulk data comes as several files
+    cores = spark.sparkContext.defaultParallelism
+    ordered = rows.repartitionByRange(cores, "k").sortWithinPartitions("k")
+    ordered.select(*columns).write.option("header", True).option("escape", '"').csv(path)
     return path
 
 

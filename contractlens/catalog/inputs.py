@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from contractlens.operators.flags import flag_data_errors
-from contractlens.plans.store import build_store
+from contractlens.plans.store import build_store, read_partitioned, write_partitioned
 from contractlens.session import scratch_path
 from contractlens.sources.tables import contracts_view, table
 
@@ -16,11 +16,19 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
 _STORES: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def flagged(spark: SparkSession, folder: str) -> DataFrame:
-    return flag_data_errors(contracts_view(spark, folder))
+    """The loaded contracts table with error codes, as the rules find it in storage."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LOADED:
+        path = scratch_path(spark, "loaded")
+        rows = flag_data_errors(contracts_view(spark, folder))
+        schema = write_partitioned(rows, path, ["owner_acronym"])
+        _LOADED[key] = read_partitioned(spark, path, schema)
+    return _LOADED[key]
 
 
 def store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -32,7 +40,7 @@ def store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORES:
         _STORES[key] = build_store(
-            spark, contracts_view(spark, folder), scratch_path(spark, "store")
+            spark, flagged(spark, folder), scratch_path(spark, "store")
         )
     return _STORES[key]
 

@@ -87,10 +87,14 @@ def _pick(choices, part=None):
     return out
 
 
+def _cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def contract_pages(spark, sf):
     """(owner_acronym, url, html, id): every order as a contract page of its department."""
     # the orders file is one small block; pages arrive as many files, so spread the rows
-    facts = derived(spark, sf, FACTS).repartition("id")
+    facts = derived(spark, sf, FACTS).repartition(_cores(spark), "id")
     vendor = F.replace("vendor", F.lit("&"), F.lit("&amp;"))
     amount = F.concat(F.lit("$ "), F.col("amount"), F.lit(".00"))
     # one cell holds both values here, as that department prints them

@@ -7,7 +7,6 @@ from contractlens.catalog.sql_text import after
 from contractlens.operators import amendments, duplicates, effective, flags
 from contractlens.operators.exports import exports_v1, exports_v2
 from contractlens.plans.metadata import update_all_metadata
-from contractlens.session import cut_lineage
 from contractlens.sources.tables import contracts_view
 
 PURCHASE = ["owner_acronym", "contract_value", "gen_vendor_normalized", "raw_contract_date"]
@@ -23,7 +22,9 @@ def _rounded(df):
 
 
 def flag_data_errors(spark, sf):
-    return flagged(spark, sf).select("id", "gen_is_error", "gen_error_via")
+    return flags.flag_data_errors(contracts_view(spark, sf)).select(
+        "id", "gen_is_error", "gen_error_via"
+    )
 
 
 def find_duplicates(spark, sf):
@@ -41,7 +42,9 @@ def duplicate_pairs(spark, sf):
 
 
 def _marked(spark, sf):
-    return cut_lineage(duplicates.find_duplicates(flagged(spark, sf)))
+    """Stored contracts with their duplicate flags, before amendments are found."""
+    rows = store(spark, sf)["contracts"]
+    return rows.drop(*amendments.ADDED, *effective.ADDED)
 
 
 def find_amendments(spark, sf):
@@ -60,7 +63,8 @@ def amendment_links(spark, sf):
 
 
 def _linked(spark, sf):
-    return cut_lineage(amendments.find_amendments(_marked(spark, sf)))
+    """Stored contracts with their amendment groups, before effective values."""
+    return store(spark, sf)["contracts"].drop(*effective.ADDED)
 
 
 def effective_amendment_values(spark, sf):

@@ -20,22 +20,27 @@ def empty_to_null(text: Column) -> Column:
 
 def transliterate(text: Column) -> Column:
     """Accented letters, ligatures and typographic marks to plain letters."""
-    out = F.translate(text, fixed.ACCENTED, fixed.PLAIN_FOR_ACCENTED)
-    out = F.translate(out, fixed.TYPOGRAPHIC, fixed.PLAIN_FOR_TYPOGRAPHIC)
+    out = F.translate(
+        text,
+        fixed.ACCENTED + fixed.TYPOGRAPHIC,
+        fixed.PLAIN_FOR_ACCENTED + fixed.PLAIN_FOR_TYPOGRAPHIC,
+    )
     for mark, plain in fixed.LIGATURES.items():
         out = F.replace(out, F.lit(mark), F.lit(plain))
     return out
 
 
 def to_ascii(text: Column) -> Column:
-    """Transliterate, then drop what is still not ASCII."""
-    return F.regexp_replace(transliterate(text), r"[^\x00-\x7F]", "")
+    """Transliterate, then drop what is still not ASCII. Plain ASCII text is left alone."""
+    plain = F.regexp_replace(transliterate(text), r"[^\x00-\x7F]", "")
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(plain)
 
 
 def slug(text: Column, separator: str = "-") -> Column:
     """Lower-case words joined by the separator."""
     other = "_" if separator == "-" else "-"
-    out = F.regexp_replace(transliterate(text), r"[^\x20-\x7E]", "")
+    ascii_text = F.when(F.octet_length(text) == F.length(text), text).otherwise(transliterate(text))
+    out = F.regexp_replace(ascii_text, r"[^\x20-\x7E]", "")
     out = F.regexp_replace(out, f"[{other}]+", separator)
     out = F.regexp_replace(F.lower(out), rf"[^{separator}\p{{L}}\p{{N}}\s]+", "")
     out = F.regexp_replace(out, rf"[{separator}\s]+", separator)

@@ -34,10 +34,9 @@ def split_by_group_size(
         .filter(F.col("group_rows") > limit)
         .select(*keys)
     )
-    large = cut_lineage(large)
     if large.isEmpty():
         return rows, None
-    side = small_side(large)
+    side = small_side(cut_lineage(large))
     match = all_equal("r", "g", keys)
     small = rows.alias("r").join(side.alias("g"), match, "left_anti")
     big = rows.alias("r").join(side.alias("g"), match, "left_semi")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from contractlens.operators.exports import exports_v1, exports_v2
-from contractlens.operators.flags import flag_data_errors
 from contractlens.plans.metadata import update_all_metadata
 
 TABLES = {
@@ -43,9 +42,12 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 
 def build_store(spark: SparkSession, contracts: DataFrame, path: str) -> dict[str, DataFrame]:
-    """Write the three tables under `path` and return readers of them."""
+    """Write the three tables under `path` and return readers of them.
+
+    `contracts` is the loaded table with its error codes.
+    """
     out = {}
-    rows = update_all_metadata(flag_data_errors(contracts))
+    rows = update_all_metadata(contracts)
     steps = {
         "contracts": lambda: rows,
         "exports_v1": lambda: exports_v1(out["contracts"]),
