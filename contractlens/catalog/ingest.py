@@ -8,7 +8,7 @@ from contractlens.catalog.inputs import derived, store
 from contractlens.catalog.reports import ORACLES as REPORT_ORACLES
 from contractlens.catalog.reports import YEARS
 from contractlens.operators import flags, lookup, reports
-from contractlens.plans import ingest
+from contractlens.plans import ingest, report_suite
 from contractlens.session import scratch_path
 from contractlens.sources import files, writers
 from contractlens.sources.tables import contracts_view, table
@@ -216,7 +216,16 @@ def write_json_records(spark, sf):
     )
 
 
+def write_all_reports(spark, sf):
+    """Every report written as CSV; the number of lines of each."""
+    tables = store(spark, sf)
+    path = scratch_path(spark, "reports")
+    folders = report_suite.write_all_reports(tables["contracts"], tables["exports_v2"], path, YEARS)
+    return report_suite.report_sizes(spark, folders)
+
+
 QUERIES = {
+    "write_all_reports": write_all_reports,
     "scan_contract_csv": scan_contract_csv,
     "import_contract_csv": csv_contracts,
     "reject_incomplete_rows": reject_incomplete_rows,

@@ -269,7 +269,15 @@ def fiscal_from_heading(spark, sf):
 def repair_labels(spark, sf):
     rows = contract_pages(spark, sf).filter("owner_acronym in ('stats', 'ircc', 'fja')")
     fixed_up = p.repair_page(F.col("html"), F.col("owner_acronym"))
-    return rows.select("id", F.length(fixed_up).alias("length_after"), fixed_up.contains("Vender").alias("misspelt"))
+    # every label of these pages is now a <th> cell with the usual words
+    return rows.select(
+        "id",
+        F.regexp_count(fixed_up, F.lit("<th[ >]")).alias("label_cells"),
+        F.regexp_count(fixed_up, F.lit("Vend[eo]r [Nn]ame:|Vendor:")).alias("vendor_labels"),
+        fixed_up.contains("Vender").alias("misspelt"),
+        fixed_up.contains(" to/au ").alias("two_languages"),
+        fixed_up.contains("<br>").alias("has_breaks"),
+    )
 
 
 def extract_label_values(spark, sf):
@@ -361,6 +369,8 @@ ORACLES = {
  FROM (SELECT o_orderkey AS id, [{}][o_orderkey % 15 + 1] AS owner_acronym, year(o_orderdate) AS y, quarter(o_orderdate) AS q FROM orders)""".format(
         ", ".join(f"'{o}'" for o in HEADINGS)
     ),
+    "repair_labels": f"""SELECT id, 8 AS label_cells, 1 AS vendor_labels, false AS misspelt, false AS two_languages, false AS has_breaks
+ FROM ({FACTS}) WHERE owner IN ('stats', 'ircc', 'fja')""",
     "extract_label_values": f"""SELECT id, vendor AS "vendorName", reference AS "referenceNumber", contract_date AS "contractDate", work AS description,
  CASE WHEN owner IN ('cc', 'wddeo') THEN NULL ELSE delivery END AS "deliveryDate", {_COMMENT} AS comments FROM ({FACTS})""",
     "department_fixups": f"""SELECT id, CASE WHEN owner = 'infra' AND notes = 1 THEN '$ ' || amount || '.00' WHEN owner = 'rcmp' THEN '$' || amount || '.00' END AS "originalValue",

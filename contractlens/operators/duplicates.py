@@ -69,24 +69,29 @@ def _small_groups(rows: DataFrame) -> DataFrame:
     Entries that share neither rule's key with another entry are kept as they are;
     only the others are gathered and walked.
     """
-    purchase = Window.partitionBy(*GROUP, "gen_vendor_normalized", "raw_contract_date")
-    reference = Window.partitionBy(*GROUP, "reference_number")
+    # Spark normalises floating keys in each grouping, which would shuffle again every
+    # time; the value as text keeps the one partitioning good for all steps below
+    keyed = rows.withColumn("_value", (F.col("contract_value") + 0.0).cast("string"))
+    group = ["owner_acronym", "_value"]
+    purchase = Window.partitionBy(*group, "gen_vendor_normalized", "raw_contract_date")
+    reference = Window.partitionBy(*group, "reference_number")
     one = F.count(F.lit(1))
-    counted = together(rows, GROUP).withColumn(
+    counted = together(keyed, group).withColumn(
         "_shared", (one.over(purchase) > 1) | (one.over(reference) > 1)
     )
     alone = counted.filter(~F.col("_shared")).select(
         *rows.columns, *_flags(F.lit(None).cast("bigint"), F.lit(1))
     )
-    return alone.unionByName(_fold(counted.filter("_shared").select(*rows.columns)))
+    walked = _fold(counted.filter("_shared").drop("_shared"), group)
+    return alone.unionByName(walked.select(*alone.columns))
 
 
-def _fold(rows: DataFrame) -> DataFrame:
+def _fold(rows: DataFrame, group: list[str]) -> DataFrame:
     """Sort inside each group and walk it once."""
-    others = [c for c in rows.columns if c not in (*GROUP, "source_fiscal", "id")]
+    others = [c for c in rows.columns if c not in (*group, "source_fiscal", "id")]
     types = dict(rows.dtypes)
     kept_type = "array<struct<" + ",".join(f"{c}:{types[c]}" for c in KEPT_FIELDS) + ">>"
-    grouped = rows.groupBy(*GROUP).agg(
+    grouped = rows.groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct("source_fiscal", "id", *others))).alias("entries")
     )
 
@@ -100,7 +105,7 @@ def _fold(rows: DataFrame) -> DataFrame:
 
     kept = F.aggregate("entries", F.array().cast(kept_type), keep)
     walked = grouped.withColumn("kept", kept).select(
-        *GROUP,
+        *group,
         F.inline(
             F.transform(
                 "entries",
@@ -113,9 +118,7 @@ def _fold(rows: DataFrame) -> DataFrame:
     )
     keeper, row = F.col("keeper"), F.col("row")
     source = F.when(keeper["id"] != row["id"], keeper["id"])
-    return walked.select(*GROUP, "row.*", *_flags(source, _via(keeper, row))).select(
-        *rows.columns, "gen_is_duplicate", "gen_duplicate_via", "gen_duplicate_source_id"
-    )
+    return walked.select(*group, "row.*", *_flags(source, _via(keeper, row)))
 
 
 def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:

@@ -53,12 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows outlive the executor that made them."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write the rows as a table in the shared folder and read them from there.
+
+    The files outlive the executors that made them, later steps read only the columns
+    they need, and their known size lets Spark choose joins.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
