@@ -7,6 +7,7 @@ from contractlens.catalog.cleaning import _sql_vendor
 from contractlens.catalog.inputs import derived, store
 from contractlens.catalog.reports import ORACLES as REPORT_ORACLES
 from contractlens.catalog.reports import YEARS
+from contractlens.catalog.sql_text import after
 from contractlens.operators import flags, lookup, reports
 from contractlens.plans import ingest, report_suite
 from contractlens.session import scratch_path
@@ -318,11 +319,55 @@ ORACLES = {
 
 
 def _contracts_sql(select):
-    from contractlens.catalog.sql_text import after
-
     return after("contracts", select)
 
 
+_SPAN = f"{YEARS[0]}-to-{YEARS[1]}"
+_REPORT_LINES = {
+    "general/entries-by-department-by-year": "entries_by_year",
+    "general/entries-by-department-by-fiscal": "entries_by_fiscal",
+    "general/entries-by-year": "entries_by_year_overall",
+    "general/entries-by-fiscal": "entries_by_fiscal_overall",
+    "general/entries-errors-duplicates-by-year": "entries_errors_duplicates_by_year",
+    "general/entries-above-and-below-25k-by-year": "entries_above_below_25k_by_year",
+    "general/entries-contracts-and-amendments-by-year": "entries_by_original_and_amendment",
+    f"general/effective-overall-total-by-year-{_SPAN}": "effective_overall_total_by_year",
+    f"general/effective-total-by-year-{_SPAN}": "effective_total_by_year",
+    f"general/largest-companies-by-effective-value-total-{_SPAN}": "SELECT vendor_normalized FROM v2 WHERE in_years GROUP BY 1 LIMIT 200",
+    f"general/largest-companies-by-effective-value-by-year-{_SPAN}": "largest_companies_by_value_by_year",
+    f"general/largest-companies-by-entries-total-{_SPAN}": "SELECT gen_vendor_normalized FROM enriched WHERE valid_years GROUP BY 1 LIMIT 200",
+    f"general/largest-companies-by-entries-by-year-{_SPAN}": "largest_companies_by_entries_by_year",
+    f"departments/entries-above-and-below-25k-by-year-{_SPAN}": "entries_above_below_25k_of_all_owners",
+    f"departments/entries-in-25k-range-by-year-{_SPAN}": "entries_in_25k_range_of_all_owners",
+    f"departments/largest-companies-by-effective-value-total-{_SPAN}": "SELECT DISTINCT owner_acronym, vendor_normalized FROM v2 WHERE in_years",
+    f"departments/largest-companies-by-effective-value-by-year-{_SPAN}": "topk_per_owner_by_year",
+    f"departments/largest-companies-by-entries-total-{_SPAN}": "SELECT DISTINCT owner_acronym, gen_vendor_normalized FROM enriched WHERE valid_years",
+    f"departments/largest-companies-by-entries-by-year-{_SPAN}": "topk_per_owner_by_entries_by_year",
+    f"vendors/largest-departments-by-effective-value-total-{_SPAN}": "departments_of_top_vendors_by_value",
+    f"vendors/largest-departments-by-effective-value-by-year-{_SPAN}": "departments_of_top_vendors_by_value_by_year",
+    f"vendors/largest-departments-by-entries-total-{_SPAN}": "departments_of_top_vendors_by_entries",
+    f"vendors/largest-departments-by-entries-by-year-{_SPAN}": "departments_of_top_vendors_by_entries_by_year",
+}
+
+
+def _lines_sql():
+    """Lines of each report, by the SQL of the report or of its keys alone."""
+    between = f"BETWEEN {YEARS[0]} AND {YEARS[1]}"
+    parts = []
+    for report, source in _REPORT_LINES.items():
+        sql = REPORT_ORACLES.get(source)
+        if sql is None:
+            sql = after(
+                "exports",
+                source.replace("in_years", f"effective_year {between}").replace(
+                    "valid_years", f"NOT gen_is_duplicate AND NOT gen_is_error AND source_year {between}"
+                ),
+            )
+        parts.append(f"SELECT '{report}' AS report, count(*) AS lines FROM ({sql})")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["write_all_reports"] = _lines_sql()
 ORACLES["write_contracts"] = _contracts_sql(
     """SELECT id, owner_acronym, source_origin, CASE WHEN owner_acronym = 'nation_3' AND source_origin = 1 THEN 1.0 ELSE contract_value END AS contract_value
  FROM contracts WHERE source_origin = 1 OR owner_acronym <> 'nation_4'"""

@@ -44,14 +44,15 @@ def split_by_group_size(
 
 
 def together(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Bring groups together over the session's full number of shuffle partitions.
+    """Bring groups together over all shuffle partitions, at least one per core.
 
     The rows are few bytes but the work on them is not, so the adaptive merge of small
     partitions would leave most cores idle. Later grouping by these or more keys needs
     no further shuffle.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(partitions, *keys)
+    spark = rows.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(configured, spark.sparkContext.defaultParallelism), *keys)
 
 
 def numbered(
