@@ -64,3 +64,28 @@ def test_series_rules(spark):
     got = {r.label: r["values"] for r in out.collect()}
     # the last value at a point stays, labels out of range are all zero
     assert got == {"x": [7, 0, 0], "y": [0, 0, 0], None: [0, 0, 0]}
+
+
+def test_python_workers_need_no_package(tmp_path):
+    """The same job from another folder, where workers cannot import the package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from contractlens.session import local_session
+spark = local_session(2)
+from contractlens.catalog import all_queries
+from contractlens.catalog.inputs import flagged
+from contractlens.operators.duplicates import find_duplicates
+q = all_queries()
+print("links", q["extract_links_under"](spark, {FOLDER!r}).count())
+rows = flagged(spark, {FOLDER!r})
+print("rows", find_duplicates(rows, fold_limit=3).count())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 1500" in done.stdout, done.stderr[-2000:]
