@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from contractlens import fixed_values as fixed
 from contractlens.catalog.cleaning import _sql_vendor
-from contractlens.catalog.inputs import derived, store
+from contractlens.catalog.inputs import derived, kept, store
 from contractlens.catalog.reports import ORACLES as REPORT_ORACLES
 from contractlens.catalog.reports import YEARS
 from contractlens.catalog.sql_text import after
@@ -35,6 +35,10 @@ FROM (SELECT *, cast(year(o_orderdate) AS string) AS y, year(o_orderdate) AS yy,
 
 
 def _bulk_file(spark, sf):
+    return kept(spark, sf, "bulk file", lambda: _write_bulk_file(spark, sf))
+
+
+def _write_bulk_file(spark, sf):
     """Write the derived bulk rows as CSV files in key order; returns the folder."""
     path = scratch_path(spark, "bulk")
     rows = derived(spark, sf, BULK)
@@ -100,6 +104,10 @@ def _record_rows(spark, sf):
 
 
 def _record_files(spark, sf):
+    return kept(spark, sf, "record files", lambda: _write_record_files(spark, sf))
+
+
+def _write_record_files(spark, sf):
     """Record files in owner folders. JSON lines: one object a line, named by line."""
     path = scratch_path(spark, "records")
     rows = _record_rows(spark, sf).drop("k")

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from contractlens.catalog.cleaning import _sql_vendor
-from contractlens.catalog.inputs import derived
+from contractlens.catalog.inputs import derived, kept
 from contractlens.operators import pages as p
+from contractlens.session import cut_lineage
 from contractlens.sources.tables import table
 
 # Departments given to the 25 nations, chosen so that every page layout occurs.
@@ -92,6 +93,11 @@ def _cores(spark):
 
 
 def contract_pages(spark, sf):
+    """The derived contract pages, written once as the stored pages they stand for."""
+    return kept(spark, sf, "contract pages", lambda: cut_lineage(_derived_pages(spark, sf)))
+
+
+def _derived_pages(spark, sf):
     """(owner_acronym, url, html, id): every order as a contract page of its department."""
     # the orders file is one small block; pages arrive as many files, so spread the rows
     facts = derived(spark, sf, FACTS).repartition(_cores(spark), "id")
@@ -233,6 +239,10 @@ HEADINGS = {
 
 
 def quarter_pages(spark, sf):
+    return kept(spark, sf, "quarter pages", lambda: cut_lineage(_derived_quarter_pages(spark, sf)))
+
+
+def _derived_quarter_pages(spark, sf):
     """(owner_acronym, url, html, id) of a quarter page per order and heading style."""
     names = list(HEADINGS)
     style = "CASE o_orderkey % 15 " + " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(names)) + " END"

@@ -25,19 +25,26 @@ def _id(origin: int, position: Column) -> Column:
     return (F.lit(origin).cast("bigint") * ID_SPAN + position).alias("id")
 
 
+def _accepted() -> Column:
+    return accepted(
+        F.col("vendorName"), F.col("contractValue"), F.col("originalValue"), F.col("ownerAcronym")
+    )
+
+
+def _error_owner() -> Column:
+    return F.when(F.col("ownerAcronym") == "", F.lit("unknown")).otherwise(
+        owner_code(F.col("ownerAcronym"))
+    )
+
+
 def csv_records(rows: DataFrame) -> DataFrame:
-    """Numbered bulk rows (fields by position) -> records, accepted ones only."""
+    """Numbered bulk rows (fields by position) -> cleaned records."""
     value = F.when(F.col("contractValue") == "", F.col("originalValue")).otherwise(
         F.col("contractValue")
     )
     source = reference_or(F.col("sourceFiscal"), F.col("csvReferenceNumber"))
-    kept = rows.filter(
-        accepted(
-            F.col("vendorName"), F.col("contractValue"), F.col("originalValue"), F.col("ownerAcronym")
-        )
-    )
     ready = (
-        kept.withColumn("contractValue", value)
+        rows.withColumn("contractValue", value)
         .withColumn("contractPeriodEnd", F.lit(""))
         .withColumn("sourceYear", dates.fiscal_year_of(source))
         .withColumn("sourceQuarter", dates.fiscal_quarter_of(source))
@@ -60,18 +67,10 @@ def csv_records(rows: DataFrame) -> DataFrame:
     )
 
 
-def csv_error_rows(rows: DataFrame) -> DataFrame:
-    """The bulk rows that are not accepted, as error rows of their department."""
-    good = accepted(
-        F.col("vendorName"), F.col("contractValue"), F.col("originalValue"), F.col("ownerAcronym")
-    )
-    owner = F.when(F.col("ownerAcronym") == "", F.lit("unknown")).otherwise(
-        owner_code(F.col("ownerAcronym"))
-    )
-    empty = {f.name: F.lit(None).cast(f.dataType) for f in CONTRACTS}
-    values = {
-        **empty,
-        "id": _id(ORIGIN_CSV, F.col("row_number")),
+def _error_values(owner: Column) -> dict[str, Column]:
+    """What an error row holds; all other columns are missing."""
+    return {
+        "id": F.col("id"),
         "owner_acronym": owner,
         "contract_value": F.lit(0.0),
         "source_origin": F.lit(ORIGIN_CSV),
@@ -79,14 +78,22 @@ def csv_error_rows(rows: DataFrame) -> DataFrame:
         "gen_error_via": F.lit(1),
         "row_created_at": F.current_timestamp(),
     }
-    return rows.filter(~good).select(*[values[f.name].alias(f.name) for f in CONTRACTS])
+
+
+def csv_error_rows(rows: DataFrame) -> DataFrame:
+    """The numbered bulk rows that are not accepted, as error rows of their department."""
+    values = _error_values(_error_owner())
+    bad = rows.filter(~_accepted()).withColumn("id", _id(ORIGIN_CSV, F.col("row_number")))
+    return bad.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CONTRACTS]
+    )
 
 
 def _text(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def project_contract(records: DataFrame) -> DataFrame:
+def project_contract(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Record fields to the columns of the contracts table; empty text becomes missing."""
     clean = F.col("vendorClean")
     values = {
@@ -120,14 +127,28 @@ def project_contract(records: DataFrame) -> DataFrame:
         "gen_error_via": F.lit(None),
     }
     return records.select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in CONTRACTS]
+        *[values[f.name].cast(f.dataType).alias(f.name) for f in CONTRACTS], *keep
     )
 
 
 def csv_contracts(raw: DataFrame) -> DataFrame:
-    """Scanned bulk rows -> contract rows and error rows, in one pass over the files."""
-    rows = with_row_numbers(raw)
-    return project_contract(csv_records(rows)).unionByName(csv_error_rows(rows))
+    """Scanned bulk rows -> contract rows, and error rows for those not accepted.
+
+    The files are parsed once for the rows and once, without fields, for their numbers.
+    """
+    rows = with_row_numbers(raw).withColumns(
+        {"accepted": _accepted(), "errorOwner": _error_owner()}
+    )
+    table = project_contract(csv_records(rows), keep=("accepted", "errorOwner"))
+    values = _error_values(F.col("errorOwner"))
+    return table.select(
+        *[
+            F.when(F.col("accepted"), F.col(f.name))
+            .otherwise(values.get(f.name, F.lit(None)).cast(f.dataType))
+            .alias(f.name)
+            for f in CONTRACTS
+        ]
+    )
 
 
 def json_records(records: DataFrame) -> DataFrame:
