@@ -7,6 +7,8 @@ from contractlens.catalog.sql_text import after
 from contractlens.operators import amendments, duplicates, effective, flags
 from contractlens.operators.exports import exports_v1, exports_v2
 from contractlens.plans.metadata import update_all_metadata
+from contractlens.plans.metadata import update_metadata as run_action
+from contractlens.session import cut_lineage
 from contractlens.sources.tables import contracts_view
 
 PURCHASE = ["owner_acronym", "contract_value", "gen_vendor_normalized", "raw_contract_date"]
@@ -91,6 +93,22 @@ def update_metadata(spark, sf):
     return _rounded(update_all_metadata(flagged(spark, sf)))
 
 
+def update_metadata_actions(spark, sf):
+    """The named steps one after another, each reading the flags the rows carry."""
+    rows = flags.reset_generated(flagged(spark, sf))
+    for action in ("reset", "duplicates", "amendments", "amendmentvalues", "regularvalues"):
+        rows = cut_lineage(run_action(rows, action))
+    return _rounded(rows)
+
+
+def update_metadata_of_owner(spark, sf):
+    """All steps for one department; the rows of the others keep what they carry."""
+    rows = flags.reset_generated(flagged(spark, sf))
+    return _rounded(run_action(rows, "all", "nation_3")).select(
+        "id", "owner_acronym", "gen_is_duplicate", "gen_amendment_group_id", "gen_effective_total_value"
+    )
+
+
 def export_v1(spark, sf):
     return _rounded(exports_v1(store(spark, sf)["contracts"]))
 
@@ -152,6 +170,8 @@ QUERIES = {
     "most_recent_flag": most_recent_flag,
     "group_min_last": group_min_last,
     "update_all_metadata": update_metadata,
+    "update_metadata_actions": update_metadata_actions,
+    "update_metadata_of_owner": update_metadata_of_owner,
     "exports_v1": export_v1,
     "exports_v2": export_v2,
     "materialize_v1": materialize_v1,
@@ -239,6 +259,12 @@ WHERE NOT b.gen_is_error AND b.id <> a.from_id""",
  source_fiscal, source_origin, gen_start_year, gen_end_year, gen_is_error, gen_error_via, gen_is_duplicate,
  gen_duplicate_via, gen_duplicate_source_id, gen_is_amendment, gen_amendment_via, gen_amendment_group_id,
  {_EFFECTIVE} FROM enriched""",
+    ),
+    "update_metadata_of_owner": after(
+        "enriched",
+        """SELECT id, owner_acronym, gen_is_duplicate AND owner_acronym = 'nation_3' AS gen_is_duplicate,
+ CASE WHEN owner_acronym = 'nation_3' THEN gen_amendment_group_id END AS gen_amendment_group_id,
+ CASE WHEN owner_acronym = 'nation_3' THEN round(gen_effective_total_value, 4) END AS gen_effective_total_value FROM enriched""",
     ),
     "exports_v1": after("exports", _V1),
     "exports_v2": after(
@@ -274,3 +300,5 @@ WHERE NOT b.gen_is_error AND b.id <> a.from_id""",
  cast(NULL AS double) AS gen_original_value, false AS gen_is_most_recent_value FROM flagged""",
     ),
 }
+
+ORACLES["update_metadata_actions"] = ORACLES["update_all_metadata"]
