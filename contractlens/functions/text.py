@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from contractlens import fixed_values as fixed
 
 NBSP = "\u00a0"
-PHP_TRIM = " \t\n\r\u0000\u000b"
+BLANKS = " \t\n\r\u0000\u000b"
 
 
 def trim_blank(text: Column) -> Column:
     """Trim blanks, tabs, line ends and NUL from both ends."""
-    return F.trim(text, F.lit(PHP_TRIM))
+    return F.trim(text, F.lit(BLANKS))
 
 
 def empty_to_null(text: Column) -> Column:
