@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from contractlens.catalog import all_oracles as oracle_sql
+from contractlens.catalog import all_queries as queries
 from check_oracles import compare
 
 FOLDER = "/root/testdata/sf0.001"
