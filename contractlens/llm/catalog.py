@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from contractlens.llm import bpe, chat, exact_dedup, sharding
+from contractlens.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    near_dedup,
+    packing,
+    phrases,
+    sharding,
+    token_files,
+    toxicity,
+    warc,
+)
 from contractlens.llm.common import read
 
 
@@ -20,23 +31,71 @@ def op1_byte_bpe(spark, sf):
     )
 
 
+def op2_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(read(spark, sf, "documents"), words=4)
+
+
+def op3_token_files(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_files(read(spark, sf, "documents"), path, end_id=2).select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
+def op4_packing(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack_documents(read(spark, sf, "documents"), path, end_id=1)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "context",
+        "step_group",
+    )
+
+
 def op5_jump_shards(spark, sf):
     return sharding.assign_shards(read(spark, sf, "documents"), 8)
 
 
+def op6_warc(spark, sf):
+    return warc.archive_pages(read(spark, sf, "pages"), min_bytes=0)
+
+
 def op7_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(read(spark, sf, "documents"))
 
 
+def op8_fingerprints(spark, sf):
+    return phrases.compare_with_edits(read(spark, sf, "documents"))
+
+
 def op9_chat_format(spark, sf):
     return chat.format_conversations(read(spark, sf, "conversations"))
 
 
+def op10_toxicity(spark, sf):
+    return toxicity.score_toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 QUERIES = {
-    "op1_byte_bpe": op1_byte_bpe,
-    "op5_jump_shards": op5_jump_shards,
-    "op7_exact_dedup": op7_exact_dedup,
-    "op9_chat_format": op9_chat_format,
+    query.__name__: query
+    for query in (
+        op1_byte_bpe,
+        op2_near_dedup,
+        op3_token_files,
+        op4_packing,
+        op5_jump_shards,
+        op6_warc,
+        op7_exact_dedup,
+        op8_fingerprints,
+        op9_chat_format,
+        op10_toxicity,
+    )
 }
 
 _NORMALISED = f"translate(coalesce(text, ''), '{exact_dedup.ASCII_UPPER}', '{exact_dedup.ASCII_LOWER}')"
