@@ -24,6 +24,8 @@ from contractlens.llm.common import id_and_text, per_worker, slices
 WORD = 256
 #: Pieces of text kept per generation of a worker's memo, and the longest kept.
 MEMO, MEMO_CHARS = 200_000, 48
+#: The same for words, which take long to encode, and for what stands between spaces.
+WORDS, CHUNKS = 300_000, 100_000
 #: A space that starts the next pre-token; the patterns of these vocabularies never join
 #: what is before it with what follows.
 CUT = re.compile(r" (?=\S)")
@@ -36,42 +38,6 @@ def ranks_of(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-class RankQueue:
-    """Positions by rank; the smallest rank first, its positions from the left."""
-
-    def __init__(self, ranks: int):
-        self.lower = [0] * (ranks // WORD + 1)
-        self.upper = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank // WORD
-        self.lower[word] |= 1 << (rank % WORD)
-        self.upper |= 1 << word
-
-    def pop(self) -> tuple[int, int]:
-        """The next rank and position, or (-1, -1)."""
-        if not self.upper:
-            return -1, -1
-        word = (self.upper & -self.upper).bit_length() - 1
-        bits = self.lower[word]
-        rank = word * WORD + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            bits &= bits - 1
-            self.lower[word] = bits
-            if not bits:
-                self.upper &= self.upper - 1
-        return rank, position
-
-
 class Encoder:
     """Ids of a pre-token's bytes."""
 
@@ -81,45 +47,81 @@ class Encoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.queue = RankQueue(len(self.tokens))
+        # the lower bitmap; all zero between calls, as the queue runs empty
+        self.lower = [0] * (len(self.tokens) // WORD + 1)
 
     def encode(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
+        """The queue's steps stand where they are needed, as calls would take longer than
+        the steps; `upper` and `lower` are the bitmap, `buckets` the positions by rank, each
+        a heap, so that positions of a rank come from the left."""
+        rank_of, tokens, lower = self.ranks.get, self.tokens, self.lower
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        n, rank_of, tokens, queue = len(piece), self.ranks.get, self.tokens, self.queue
-        ids = [self.single[b] for b in piece]
+        n, upper, buckets = len(piece), 0, {}
+        single = self.single
+        ids = [single[b] for b in piece]
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         # the rank of the pair that starts here; -1 if it merges no more
         pair = [-1] * n
         for at in range(n - 1):
-            rank = rank_of(piece[at : at + 2], -1)
-            if rank >= 0:
+            rank = rank_of(piece[at : at + 2])
+            if rank is not None:
                 pair[at] = rank
-                queue.push(rank, at)
-        while True:
-            rank, at = queue.pop()
-            if rank < 0:
-                break
+                if rank in buckets:
+                    buckets[rank].append(at)  # ascending, so still a heap
+                else:
+                    buckets[rank] = [at]
+                    word = rank // WORD
+                    lower[word] |= 1 << rank % WORD
+                    upper |= 1 << word
+        while upper:
+            word = (upper & -upper).bit_length() - 1
+            bits = lower[word]
+            rank = word * WORD + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket[0]
+                del buckets[rank]
+                bits &= bits - 1
+                lower[word] = bits
+                if not bits:
+                    upper &= upper - 1
             if pair[at] != rank:
                 continue  # stale
             gone = right[at]
             after = right[gone]
             ids[at], right[at], pair[gone], ids[gone] = rank, after, -1, -1
             token = tokens[rank]
-            new = -1
+            pair[at] = -1
             if after < n:
                 left[after] = at
-                new = rank_of(token + tokens[ids[after]], -1)
-                if new >= 0:
-                    queue.push(new, at)
-            pair[at] = new
+                new = rank_of(token + tokens[ids[after]])
+                if new is not None:
+                    pair[at] = new
+                    if new in buckets:
+                        heappush(buckets[new], at)
+                    else:
+                        buckets[new] = [at]
+                        word = new // WORD
+                        lower[word] |= 1 << new % WORD
+                        upper |= 1 << word
             before = left[at]
             if before >= 0:
-                new = rank_of(tokens[ids[before]] + token, -1)
-                pair[before] = new
-                if new >= 0:
-                    queue.push(new, before)
+                new = rank_of(tokens[ids[before]] + token)
+                if new is None:
+                    pair[before] = -1
+                else:
+                    pair[before] = new
+                    if new in buckets:
+                        heappush(buckets[new], before)
+                    else:
+                        buckets[new] = [before]
+                        word = new // WORD
+                        lower[word] |= 1 << new % WORD
+                        upper |= 1 << word
         return [i for i in ids if i >= 0]
 
 
@@ -155,10 +157,10 @@ class TextEncoder:
         import regex
 
         encoder, match = Encoder(ranks), regex.compile(pattern).findall
-        words = Memo(lambda word: array("I", encoder.encode(word.encode())).tobytes())
+        words = Memo(lambda word: array("I", encoder.encode(word.encode())).tobytes(), WORDS)
         find = words.__getitem__
         self.first = lambda piece: b"".join(map(find, match(piece)))
-        self.rest = Memo(lambda piece: self.first(" " + piece))
+        self.rest = Memo(lambda piece: self.first(" " + piece), CHUNKS)
 
     def encode(self, text: str) -> bytes:
         head, *tail = pieces(text)
