@@ -100,7 +100,40 @@ QUERIES = {
 
 _NORMALISED = f"translate(coalesce(text, ''), '{exact_dedup.ASCII_UPPER}', '{exact_dedup.ASCII_LOWER}')"
 
+# Groups of 20 bits of the hexadecimal digest give four letters each.
+_BASE32 = """
+  list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(digest, cast(i // 4 * 5 + 1 AS bigint), 5))::bigint >> (15 - 5 * (i % 4))::bigint) & 31) + 1, 1)),
+    'string_agg', '')"""
+
 ORACLES = {
+    "op2_near_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'UPPER', 'LOWER'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: list_aggregate(w[i:i + 3], 'string_agg', ' '))) END AS items
+  FROM words),
+items AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b USING (item)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, len(s.items) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN (SELECT node, min(other) AS component_id FROM reached GROUP BY node) r ON s.doc_id = r.node
+""".replace("UPPER", exact_dedup.ASCII_UPPER).replace("LOWER", exact_dedup.ASCII_LOWER),
+    "op6_warc": f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads""",
     "op7_exact_dedup": f"""
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
   SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
