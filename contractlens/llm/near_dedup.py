@@ -117,7 +117,8 @@ def distance_limit(threshold: float) -> int:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set; null if empty), bands and sketch."""
+    """doc_id, text_key (hash of the text), n_shingles, class (digest of the set; null if
+    empty), bands and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -135,17 +136,19 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
+                    batch["text_key"],
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "class", "bands", "sketch"],
+                ["doc_id", "text_key", "n_shingles", "class", "bands", "sketch"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, class binary, bands array<long>, sketch array<long>"
+    return docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        run,
+        f"doc_id {kind}, text_key long, n_shingles long, class binary, bands array<long>, sketch array<long>",
     )
 
 
@@ -155,10 +158,11 @@ def close_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class and text of one document of each wanted class (class, doc_id)."""
-    ids = wanted.select("class", F.col("doc_id").alias("of"))
-    found = docs.join(small_side(ids, BROADCAST_CLASSES), F.col("doc_id").eqNullSafe(F.col("of")))
-    return found.select("class", "text")
+    """class and text of the document of each wanted class (class, sample: doc_id and
+    text_key; rows with one id may have several texts)."""
+    ids = wanted.select("class", F.col("sample.doc_id").alias("of"), F.col("sample.text_key").alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("key"))
+    return docs.join(small_side(ids, BROADCAST_CLASSES), same).select("class", "text")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -254,6 +258,7 @@ def near_duplicates(
     classes = cut_lineage(
         members.groupBy("class").agg(
             F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "text_key")).alias("sample"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
             F.count(F.lit(1)).alias("copies"),
         )
@@ -267,7 +272,7 @@ def near_duplicates(
         .select("key", "pivot")
     )
     shared = cut_lineage(placed.join(buckets, "key"))
-    wanted = classes.select("class", "doc_id").join(shared.select("class").distinct(), "class")
+    wanted = classes.select("class", "sample").join(shared.select("class").distinct(), "class")
     texts = cut_lineage(class_texts(plain, cut_lineage(wanted)).dropDuplicates(["class"]))
 
     stars = shared.filter("class <> pivot").select(

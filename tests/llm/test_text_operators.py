@@ -51,6 +51,7 @@ AWKWARD = [
     (1, None), (2, ""), (3, "   \n\t"), (4, "one"), (5, "One"), (6, "one"), (7, "two words"),
     (8, LONG), (9, LONG.upper()), (10, near(LONG, 100)), (11, near(LONG, 100, 300)), (12, near(LONG, 20, 100, 300, 350)),
     (13, near(LONG, *range(0, 400, 9))), (14, "é" * 50), (15, "É" * 50), (16, "x" * 60_000), (17, "word " * 30_000),
+    (21, near(LONG, 390)), (21, "another text of one id"), (21, near(LONG, 7)), (22, "another text of one id too"),
     (18, "😀 中文 \x85 \x1c<|endoftext|>"), (20, "same"), (20, "same"), (20, "same"), (-5, "negative id"),
     (None, "no id"), (None, "no id"), (None, LONG), (2**62, "large id"), (30, "ab  cd \n\n ef  "),
 ]
