@@ -29,6 +29,8 @@ LEVELS = 4
 #: Values in a sketch, and phrases that a level must have to be the upper one.
 BINS, LEAST_PHRASES = 64, 24
 EMPTY = 0xFFFF
+#: Ranges of ids at most; their bounds come to the driver.
+MOST_RANGES = 20_000
 #: Characters that are parsed together.
 BATCH_CHARS = 1 << 18
 
@@ -214,8 +216,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     plain = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     ids = plain.select("doc_id")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = 4 * parts
-    found = ids.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 20 * count)).first()[0]
+    count = min(4 * parts, MOST_RANGES)
+    found = ids.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10 * count)).first()[0]
     bounds = sorted(set(found or []))
     place = _range_of(F.col("doc_id"), bounds)
     heads = ids.groupBy(place.alias("range")).agg(
