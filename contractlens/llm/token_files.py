@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from contractlens.llm.common import id_and_text, slices
 from contractlens.llm.library_ids import text_encoder
-from contractlens.session import cut_lineage, scratch_path
+from contractlens.session import scratch_path
 
 #: Ids in a block, unless one document has more.
 BLOCK_IDS = 1 << 18
@@ -129,7 +129,9 @@ def write_token_files(
     empty table gives empty files; further columns are left out.
     """
     spark = docs.sparkSession
-    encoded = cut_lineage(encode_documents(docs, vocabulary, end_id, id_col, text_col))
+    table = scratch_path(spark, "encoded")
+    encode_documents(docs, vocabulary, end_id, id_col, text_col).write.option("compression", "zstd").parquet(table)
+    encoded = spark.read.parquet(table)
     counts = id_counts(encoded).orderBy(F.desc("n"), "id").select("id").collect()
     ids = np.array([row.id for row in counts], "<u4")
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, "<u4")
@@ -178,7 +180,8 @@ def write_token_files(
             blocks,
             f"part int, first long, doc_ids array<{kind}>, lengths array<long>, control binary, data binary",
         )
-        .write.parquet(path)
+        .write.option("compression", "zstd")
+        .parquet(path)
     )
     return ids
 
