@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
 import pyarrow as pa
@@ -22,10 +22,10 @@ from contractlens.llm.common import id_and_text, per_worker, slices
 
 #: Ranks per word of the lower bitmap.
 WORD = 256
-#: Pieces of text kept per generation of a worker's memo, and the longest kept.
+#: Entries kept per generation of a worker's memo, and the longest kept.
 MEMO, MEMO_CHARS = 200_000, 48
-#: The same for words, which take long to encode, and for what stands between spaces.
-WORDS, CHUNKS = 300_000, 100_000
+#: Entries for pieces that follow a space, and for other pre-tokens.
+WORDS, OTHERS = 450_000, 50_000
 #: A space that starts the next pre-token; the patterns of these vocabularies never join
 #: what is before it with what follows.
 CUT = re.compile(r" (?=\S)")
@@ -150,21 +150,42 @@ def pieces(text: str) -> list[str]:
     return CUT.split(text) if UNUSUAL.search(text) else text.split(" ")
 
 
-class TextEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+class TextIds:
+    """Ids of texts, as bytes, put together from remembered pieces.
+
+    `word` gives the ids of one pre-token, `match` cuts a text into pre-tokens. Letters
+    after a space are one pre-token and are kept under the letters alone; any other piece
+    is cut, and its words are kept the same way.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
+    def __init__(self, word: Callable[[str], bytes], match: Callable[[str], list[str]]):
+        self.word, self.match = word, match
+        self.after_space = Memo(self._after_space, WORDS)
+        self.others = Memo(word, OTHERS)
+
+    def split(self, text: str) -> bytes:
+        spaced, others = self.after_space, self.others
+        return b"".join(
+            [
+                spaced[word[1:]] if word[0] == " " and word[1:].isalpha() else others[word]
+                for word in self.match(text)
+            ]
+        )
 
-        encoder, match = Encoder(ranks), regex.compile(pattern).findall
-        words = Memo(lambda word: array("I", encoder.encode(word.encode())).tobytes(), WORDS)
-        find = words.__getitem__
-        self.first = lambda piece: b"".join(map(find, match(piece)))
-        self.rest = Memo(lambda piece: self.first(" " + piece), CHUNKS)
+    def _after_space(self, piece: str) -> bytes:
+        return self.word(" " + piece) if piece.isalpha() else self.split(" " + piece)
 
     def encode(self, text: str) -> bytes:
         head, *tail = pieces(text)
-        return self.first(head) + b"".join(map(self.rest.__getitem__, tail))
+        return self.split(head) + b"".join(map(self.after_space.__getitem__, tail))
+
+
+def text_ids(ranks: dict[bytes, int], pattern: str) -> TextIds:
+    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    import regex
+
+    encode = Encoder(ranks).encode
+    return TextIds(lambda word: array("I", encode(word.encode())).tobytes(), regex.compile(pattern).findall)
 
 
 def encode_texts(
@@ -185,7 +206,7 @@ def encode_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(
-            ("bpe", vocabulary, pattern), lambda: TextEncoder(ranks_of(data.value), pattern)
+            ("bpe", vocabulary, pattern), lambda: text_ids(ranks_of(data.value), pattern)
         )
         for batch in slices(batches):
             ids = [encoder.encode(text) for text in batch["text"].to_pylist()]

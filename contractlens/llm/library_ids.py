@@ -1,40 +1,74 @@
-"""Ids of whole texts as the tokenizers library gives them, memoised by piece of text."""
+"""Ids of whole texts as the tokenizers library gives them, memoised by pre-token."""
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
-from contractlens.llm.bpe import Memo, pieces
+from contractlens.llm.bpe import TextIds
 from contractlens.llm.common import per_worker
 
 
-def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:
-    """Ids of a text by a byte-level vocabulary in the library's JSON form.
+#: Texts of these characters split alike by every version of the Unicode tables.
+SETTLED = re.compile(r"[\x00-\u024f]*").fullmatch
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it is
+    printable in Latin-1, else the next free one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
 
-    Every distinct piece goes through the library; pieces start at spaces that start a
-    pre-token, so the ids of the pieces are those of the text. Made once per worker;
-    `name` tells vocabularies apart. Strings of special tokens are ordinary text.
+class LibraryIds(TextIds):
+    """Ids of texts by a byte-level vocabulary in the library's JSON form.
+
+    The ids of a text are those of its pre-tokens, and a pre-token goes through the
+    library's model once while it is remembered. A piece of text with characters that the
+    library's tables and ours might see differently goes through the whole library, and
+    so do all texts if the vocabulary is not plainly byte-level. Strings of special
+    tokens are ordinary text.
     """
 
-    def make():
+    def __init__(self, vocabulary: str):
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(vocabulary)
-        tokenizer.encode_special_tokens = True
+        super().__init__(self._word, regex.compile(public_tokenizers.PATTERN).findall)
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        described = json.loads(vocabulary)
+        split = described.get("pre_tokenizer") or {}
+        self.plain = described.get("normalizer") is None and (
+            split.get("type"), split.get("add_prefix_space"), split.get("use_regex")
+        ) == ("ByteLevel", False, True)
+
+    def _whole(self, piece: str) -> bytes:
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
-        def of(piece: str) -> bytes:
-            ids = tokenizer.encode(piece, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
-        memo = Memo(lambda piece: of(" " + piece))
-        find = memo.__getitem__
+    def split(self, text: str) -> bytes:
+        return super().split(text) if SETTLED(text) else self._whole(text)
 
-        def encode(text: str) -> np.ndarray:
-            head, *tail = pieces(text)
-            return np.frombuffer((of(head) if head else b"") + b"".join(map(find, tail)), "<u4")
+    def _after_space(self, piece: str) -> bytes:
+        return super()._after_space(piece) if SETTLED(piece) else self._whole(" " + piece)
 
-        return encode
+    def encode(self, text: str) -> bytes:
+        return super().encode(text) if self.plain else self._whole(text)
 
-    return per_worker(("library", name), make)
+
+def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:
+    """Ids of a text by a vocabulary that is loaded once per worker; `name` tells
+    vocabularies apart."""
+    found = per_worker(("library", name), lambda: LibraryIds(vocabulary))
+    return lambda text: np.frombuffer(found.encode(text), "<u4")

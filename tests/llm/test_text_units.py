@@ -25,7 +25,7 @@ def byte_encoder():
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    return bpe.TextEncoder(ranks, public_tokenizers.PATTERN), library
+    return bpe.text_ids(ranks, public_tokenizers.PATTERN), library
 
 
 def known(text):
@@ -61,6 +61,15 @@ def test_library_ids_by_piece(text):
     assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_other_vocabularies_go_through_the_library():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encode = library_ids.text_encoder("words", file.read())
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    text = "Two Words, and \n more  of them"
+    assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_memo_keeps_two_generations():
     made = []
     memo = bpe.Memo(lambda key: made.append(key) or key.upper(), limit=2, longest=3)
