@@ -8,9 +8,12 @@ high similarities apart precisely.
 
 Pairs within a bucket are never spelled out. First every class of a bucket meets one
 pivot. Pairs that pass the sketch are confirmed on the full sets and joined into
-components. Only classes of different components that still share a bucket meet each
-other, in blocks, and the sketch is compared inside that join, so what fails it is
-never a row. No candidate is capped or dropped.
+components. Only classes of different components that still share a bucket are left.
+For them the shingles that occur in more than one component are counted: two classes
+of different components have no other in common, which bounds their similarity and
+rules out nearly all pairs of a family of texts with edits of their own. The rest meet
+in blocks, with bound and sketch inside that join, so what fails is never a row. No
+candidate is capped or dropped.
 """
 
 from __future__ import annotations
@@ -206,11 +209,42 @@ def _sifted(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(sizes & near).select("a", "b")
 
 
+def _common_shingles(texts: DataFrame, components: DataFrame, words: int) -> DataFrame:
+    """class and n_common: how many of its shingles other components have as well.
+
+    components: class, component. Shingles are counted before they meet, so one that all
+    texts have is one row on one side of the join.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, rows=256):
+            sets = [shingles(text, words) for text in batch["text"].to_pylist()]
+            lengths = [len(s) for s in sets]
+            if not sum(lengths):
+                continue
+            every = np.concatenate(sets).view(np.int64)
+            rows = np.repeat(np.arange(len(sets)), lengths)
+            columns = [batch[name].take(pa.array(rows)) for name in ("short", "component")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(every)], ["short", "component", "shingle"])
+
+    # 64-bit names: a clash of classes or shingles makes a bound too high only, one of
+    # components matters only if just these two are linked
+    short = components.select(
+        "class", F.xxhash64("class").alias("short"), F.xxhash64("component").alias("component")
+    )
+    each = texts.join(short, "class").select("short", "component", "text")
+    each = cut_lineage(each.mapInArrow(run, "short long, component long, shingle long"))
+    spread = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = cut_lineage(spread.filter("low <> high").select("shingle"))
+    counts = each.join(spread, "shingle", "left_semi").groupBy("short").agg(F.count(F.lit(1)).alias("n_common"))
+    return short.join(counts, "short").select("class", "n_common")
+
+
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a bucket but no component, sifted inside the join.
 
-    members: key, class, component, n_shingles, sketch. A bucket's classes are dealt
-    into blocks, every two blocks meet in a cell of their own, and cells go to tasks.
+    members: key, class, component, n_shingles, n_common, sketch. A bucket's classes are
+    dealt into blocks, every two blocks meet in a cell of their own, and cells go to tasks.
     """
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -220,21 +254,18 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         "block", F.pmod(F.xxhash64("class", "key"), F.col("blocks"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    one = rows.select(
-        "key", F.col("block").alias("i"), other.alias("j"), F.col("class").alias("a"),
-        F.col("component").alias("component_a"), F.col("n_shingles").alias("size_a"), F.col("sketch").alias("sketch_a"),
-    )
-    two = rows.select(
-        "key", F.col("block").alias("j"), other.alias("i"), F.col("class").alias("b"),
-        F.col("component").alias("component_b"), F.col("n_shingles").alias("size_b"), F.col("sketch").alias("sketch_b"),
-    )
+    held = ["class", "component", "n_shingles", "n_common", "sketch"]
+    one = rows.select("key", F.col("block").alias("i"), other.alias("j"), *[F.col(c).alias(f"{c}_a") for c in held])
+    two = rows.select("key", F.col("block").alias("j"), other.alias("i"), *[F.col(c).alias(f"{c}_b") for c in held])
     near = sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= distance_limit(percent / 100)
+    most = F.least("n_common_a", "n_common_b")
+    bound = most * 100 >= (F.col("n_shingles_a") + F.col("n_shingles_b") - most) * percent
     on = (
         (one["key"] == two["key"]) & (one["i"] == two["i"]) & (one["j"] == two["j"])
-        & (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-        & close_sizes(F.col("size_a"), F.col("size_b"), percent) & near
+        & (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
+        & close_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent) & bound & near
     )
-    return one.join(two, on).select("a", "b").distinct()
+    return one.join(two, on).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -288,7 +319,11 @@ def near_duplicates(
     described = classes.select("class", "n_shingles", "sketch")
     several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     several = cut_lineage(several.filter("low <> high").select("key"))
-    rest = cut_lineage(known.join(several, "key", "left_semi").join(described, "class"))
+    rest = cut_lineage(known.join(several, "key", "left_semi"))
+    common = cut_lineage(_common_shingles(texts, rest.select("class", "component").distinct(), words))
+    # without enough common shingles a class has no partner left
+    able = described.join(common, "class").filter(F.col("n_common") * 100 >= F.col("n_shingles") * percent)
+    rest = cut_lineage(rest.join(able, "class"))
     more = cut_lineage(confirmed(cut_lineage(_across(rest, percent)), texts, words, percent))
     roots = connected_components(links.unionByName(more))
 
