@@ -25,7 +25,9 @@ WORD = 256
 #: Entries kept per generation of a worker's memo, and the longest kept.
 MEMO, MEMO_CHARS = 200_000, 48
 #: Entries for pieces that follow a space, and for other pre-tokens.
-WORDS, OTHERS = 450_000, 50_000
+WORDS, OTHERS = 600_000, 50_000
+#: Signs that often end a word; alone they are one pre-token.
+STOPS = frozenset(",.!?;:")
 #: A space that starts the next pre-token; the patterns of these vocabularies never join
 #: what is before it with what follows.
 CUT = re.compile(r" (?=\S)")
@@ -173,7 +175,12 @@ class TextIds:
         )
 
     def _after_space(self, piece: str) -> bytes:
-        return self.word(" " + piece) if piece.isalpha() else self.split(" " + piece)
+        if piece.isalpha():
+            return self.word(" " + piece)
+        letters, last = piece[:-1], piece[-1:]
+        if last in STOPS and letters.isalpha():
+            return self.after_space[letters] + self.others[last]
+        return self.split(" " + piece)
 
     def encode(self, text: str) -> bytes:
         head, *tail = pieces(text)

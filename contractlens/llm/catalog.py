@@ -37,7 +37,8 @@ def op2_near_dedup(spark, sf):
 
 def op3_token_files(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_files.token_files(read(spark, sf, "documents"), path, end_id=2).select(
+    rows = token_files.token_files(read(spark, sf, "documents"), path, end_id=2, keep_ids=False)
+    return rows.select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )
 

@@ -58,10 +58,11 @@ class LibraryIds(TextIds):
         return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def split(self, text: str) -> bytes:
-        return super().split(text) if SETTLED(text) else self._whole(text)
+        return super().split(text) if text.isascii() or SETTLED(text) else self._whole(text)
 
     def _after_space(self, piece: str) -> bytes:
-        return super()._after_space(piece) if SETTLED(piece) else self._whole(" " + piece)
+        settled = piece.isascii() or SETTLED(piece)
+        return super()._after_space(piece) if settled else self._whole(" " + piece)
 
     def encode(self, text: str) -> bytes:
         return super().encode(text) if self.plain else self._whole(text)

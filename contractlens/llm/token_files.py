@@ -26,6 +26,8 @@ from contractlens.llm.common import id_and_text, slices
 from contractlens.llm.library_ids import text_encoder
 from contractlens.session import scratch_path
 
+#: How the ids are stored: the quick level of zstd.
+SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 #: Ids in a block, unless one document has more.
 BLOCK_IDS = 1 << 18
 
@@ -40,12 +42,21 @@ MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit values."""
     values = np.ascontiguousarray(values, "<u4")
-    spare = -len(values) % 4
-    lengths = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    codes = np.append(lengths - 1, np.zeros(spare, np.int64)).reshape(-1, 4)
-    control = (codes << _SHIFTS).sum(axis=1).astype(np.uint8)
-    columns = values.view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), columns[np.arange(4) < lengths[:, None]].tobytes()
+    lengths = np.ones(len(values) + -len(values) % 4, np.uint8)
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF):
+        lengths[: len(values)] += values > limit
+    codes = lengths - np.uint8(1)
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    lengths = lengths[: len(values)]
+    ends = np.cumsum(lengths, dtype=np.int64)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    places = ends - lengths
+    data[places] = values & 0xFF
+    longer = np.flatnonzero(lengths > 1)
+    for byte in (1, 2, 3):
+        data[places[longer] + byte] = (values[longer] >> (8 * byte)) & 0xFF
+        longer = longer[lengths[longer] > byte + 1]
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -130,7 +141,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     table = scratch_path(spark, "encoded")
-    encode_documents(docs, vocabulary, end_id, id_col, text_col).write.option("compression", "zstd").parquet(table)
+    encode_documents(docs, vocabulary, end_id, id_col, text_col).write.options(**SMALL).parquet(table)
     encoded = spark.read.parquet(table)
     counts = id_counts(encoded).orderBy(F.desc("n"), "id").select("id").collect()
     ids = np.array([row.id for row in counts], "<u4")
@@ -180,14 +191,15 @@ def write_token_files(
             blocks,
             f"part int, first long, doc_ids array<{kind}>, lengths array<long>, control binary, data binary",
         )
-        .write.option("compression", "zstd")
+        .write.options(**SMALL)
         .parquet(path)
     )
     return ids
 
 
-def read_token_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids and ids_crc32.
+def read_token_files(spark: SparkSession, path: str, ids: np.ndarray, keep_ids: bool = True) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens, ids_crc32 and ids (null
+    unless kept).
 
     `ids` is the table that write_token_files returned. Blocks are decoded one at a
     time; the totals of the parts, one row each, give the starts.
@@ -209,7 +221,7 @@ def read_token_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFra
                     pa.array(first + ends - lengths, pa.int64()),
                     pa.array(lengths, pa.int64()),
                     pa.array([zlib.crc32(i) for i in own], pa.int64()),
-                    pa.array(own, pa.binary()),
+                    pa.array(own if keep_ids else [None] * len(own), pa.binary()),
                 ],
                 ["doc_id", "part", "inside", "n_tokens", "ids_crc32", "ids"],
             )
@@ -227,8 +239,8 @@ def read_token_files(spark: SparkSession, path: str, ids: np.ndarray) -> DataFra
     )
 
 
-def token_files(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str, end_id: int, keep_ids: bool = True) -> DataFrame:
     """Write the files in the shared folder, then read them back."""
     path = scratch_path(docs.sparkSession, "tokens")
     ids = write_token_files(docs, path, vocabulary, end_id)
-    return read_token_files(docs.sparkSession, path, ids)
+    return read_token_files(docs.sparkSession, path, ids, keep_ids)
