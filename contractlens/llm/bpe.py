@@ -160,9 +160,11 @@ class TextIds:
     is cut, and its words are kept the same way.
     """
 
-    def __init__(self, word: Callable[[str], bytes], match: Callable[[str], list[str]]):
+    def __init__(
+        self, word: Callable[[str], bytes], match: Callable[[str], list[str]], limit: int = WORDS
+    ):
         self.word, self.match = word, match
-        self.after_space = Memo(self._after_space, WORDS)
+        self.after_space = Memo(self._after_space, limit)
         self.others = Memo(word, OTHERS)
 
     def split(self, text: str) -> bytes:

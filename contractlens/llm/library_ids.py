@@ -13,6 +13,8 @@ from contractlens.llm.bpe import TextIds
 from contractlens.llm.common import per_worker
 
 
+#: Entries kept per generation of a worker's memo.
+WORDS = 800_000
 #: Texts of these characters split alike by every version of the Unicode tables.
 SETTLED = re.compile(r"[\x00-\u024f]*").fullmatch
 
@@ -40,8 +42,10 @@ class LibraryIds(TextIds):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__(self._word, regex.compile(public_tokenizers.PATTERN).findall)
+        super().__init__(self._word, regex.compile(public_tokenizers.PATTERN).findall, WORDS)
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        # ids of two bytes where the vocabulary allows
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.tokenizer.encode_special_tokens = True
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         described = json.loads(vocabulary)
@@ -51,11 +55,11 @@ class LibraryIds(TextIds):
         ) == ("ByteLevel", False, True)
 
     def _whole(self, piece: str) -> bytes:
-        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        return array(self.kind, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(self.alphabet)
-        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        return array(self.kind, [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def split(self, text: str) -> bytes:
         return super().split(text) if text.isascii() or SETTLED(text) else self._whole(text)
@@ -69,7 +73,8 @@ class LibraryIds(TextIds):
 
 
 def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:
-    """Ids of a text by a vocabulary that is loaded once per worker; `name` tells
-    vocabularies apart."""
+    """Ids of a text, of two or four bytes each, by a vocabulary that is loaded once per
+    worker; `name` tells vocabularies apart."""
     found = per_worker(("library", name), lambda: LibraryIds(vocabulary))
-    return lambda text: np.frombuffer(found.encode(text), "<u4")
+    kind = "<u2" if found.kind == "H" else "<u4"
+    return lambda text: np.frombuffer(found.encode(text), kind)

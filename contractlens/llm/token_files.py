@@ -76,7 +76,7 @@ def encode_documents(
     """doc_id, n_tokens and ids (two bytes each if the vocabulary allows, else four)."""
     with open(vocabulary, encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4")
+    end = np.array([end_id], "<u2" if end_id < 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_encoder(vocabulary, content.value)
@@ -97,6 +97,8 @@ def encode_documents(
 
 def narrow(ids: np.ndarray) -> bytes:
     """A leading byte tells the width: 2 or 4."""
+    if ids.dtype.itemsize == 2:
+        return b"\2" + ids.tobytes()
     small = len(ids) == 0 or int(ids.max()) < 1 << 16
     return (b"\2" + ids.astype("<u2").tobytes()) if small else (b"\4" + ids.astype("<u4").tobytes())
 

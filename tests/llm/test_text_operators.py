@@ -131,7 +131,10 @@ def test_packing(awkward, nothing):
         assert covered == count * n
         if count == 1:
             whole[(doc, b"".join(ids for _, ids in sorted(parts)))] += 1
-    single = {k: n for k, n in want.items() if n == 1}
+    # pieces of rows with one id and length can't be told apart
+    alike = Counter((doc, len(ids) // 4) for doc, ids in want.elements())
+    single = {k: n for k, n in want.items() if alike[(k[0], len(k[1]) // 4)] == 1}
+    assert len(single) > 15
     assert {k: whole[k] for k in single} == single
     assert packing.pack_documents(nothing, JSON, 1).count() == 0
 
