@@ -38,6 +38,8 @@ BANDS, ROWS = 32, 5
 SKETCH = 512
 #: Classes of one bucket that meet all of another block of it.
 BLOCK = 256
+#: Parts of all shingles in which common ones are counted.
+PARTS = 64
 #: Classes whose texts are looked up by broadcast; more go through a shuffle.
 BROADCAST_CLASSES = 200_000
 
@@ -210,7 +212,8 @@ def _sifted(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _common_shingles(texts: DataFrame, components: DataFrame, words: int) -> DataFrame:
-    """class and n_common: how many of its shingles other components have as well.
+    """class, n_common: how many of its shingles other components have as well, and parts:
+    the same by PARTS parts of all shingles.
 
     components: class, component. Shingles are counted before they meet, so one that all
     texts have is one row on one side of the join.
@@ -236,15 +239,23 @@ def _common_shingles(texts: DataFrame, components: DataFrame, words: int) -> Dat
     each = cut_lineage(each.mapInArrow(run, "short long, component long, shingle long"))
     spread = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     spread = cut_lineage(spread.filter("low <> high").select("shingle"))
-    counts = each.join(spread, "shingle", "left_semi").groupBy("short").agg(F.count(F.lit(1)).alias("n_common"))
-    return short.join(counts, "short").select("class", "n_common")
+    part = F.pmod(F.col("shingle"), F.lit(PARTS)).cast("int")
+    counts = each.join(spread, "shingle", "left_semi").groupBy("short", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    # at most PARTS entries each
+    found = counts.groupBy("short").agg(
+        F.sum("n").alias("n_common"), F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("by_part")
+    )
+    zero = F.lit(0).cast("bigint")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.try_element_at("by_part", p), zero))
+    return short.join(found, "short").select("class", "n_common", parts.alias("parts"))
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a bucket but no component, sifted inside the join.
 
-    members: key, class, component, n_shingles, n_common, sketch. A bucket's classes are
-    dealt into blocks, every two blocks meet in a cell of their own, and cells go to tasks.
+    members: key, class, component, n_shingles, n_common, parts, sketch. A bucket's classes
+    are dealt into blocks, every two blocks meet in a cell of their own, and cells go to
+    tasks. Two classes have at most the smaller count in common, in all and part by part.
     """
     sizes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -254,16 +265,21 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         "block", F.pmod(F.xxhash64("class", "key"), F.col("blocks"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    held = ["class", "component", "n_shingles", "n_common", "sketch"]
+    held = ["class", "component", "n_shingles", "n_common", "parts", "sketch"]
     one = rows.select("key", F.col("block").alias("i"), other.alias("j"), *[F.col(c).alias(f"{c}_a") for c in held])
     two = rows.select("key", F.col("block").alias("j"), other.alias("i"), *[F.col(c).alias(f"{c}_b") for c in held])
     near = sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= distance_limit(percent / 100)
-    most = F.least("n_common_a", "n_common_b")
-    bound = most * 100 >= (F.col("n_shingles_a") + F.col("n_shingles_b") - most) * percent
+
+    def possible(most: Column) -> Column:
+        return most * 100 >= (F.col("n_shingles_a") + F.col("n_shingles_b") - most) * percent
+
+    bound = possible(F.least("n_common_a", "n_common_b"))
+    smaller = F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y))
+    by_part = possible(F.aggregate(smaller, F.lit(0).cast("bigint"), lambda total, n: total + n))
     on = (
         (one["key"] == two["key"]) & (one["i"] == two["i"]) & (one["j"] == two["j"])
         & (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
-        & close_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent) & bound & near
+        & close_sizes(F.col("n_shingles_a"), F.col("n_shingles_b"), percent) & bound & near & by_part
     )
     return one.join(two, on).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
