@@ -33,8 +33,9 @@ class LibraryIds(TextIds):
     The ids of a text are those of its pre-tokens, and a pre-token goes through the
     library's model once while it is remembered. A piece of text with characters that the
     library's tables and ours might see differently goes through the whole library, and
-    so do all texts if the vocabulary is not plainly byte-level. Strings of special
-    tokens are ordinary text.
+    so do texts that hold the string of an added token, such as <|endoftext|>, which the
+    library gives that token's id, and all texts if the vocabulary is not plainly
+    byte-level.
     """
 
     def __init__(self, vocabulary: str):
@@ -46,9 +47,9 @@ class LibraryIds(TextIds):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         # ids of two bytes where the vocabulary allows
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.tokenizer.encode_special_tokens = True
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         described = json.loads(vocabulary)
+        self.added = [token["content"] for token in described.get("added_tokens") or [] if token["content"]]
         split = described.get("pre_tokenizer") or {}
         self.plain = described.get("normalizer") is None and (
             split.get("type"), split.get("add_prefix_space"), split.get("use_regex")
@@ -69,7 +70,8 @@ class LibraryIds(TextIds):
         return super()._after_space(piece) if settled else self._whole(" " + piece)
 
     def encode(self, text: str) -> bytes:
-        return super().encode(text) if self.plain else self._whole(text)
+        by_piece = self.plain and not any(map(text.__contains__, self.added))
+        return super().encode(text) if by_piece else self._whole(text)
 
 
 def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:

@@ -139,6 +139,20 @@ def test_packing(awkward, nothing):
     assert packing.pack_documents(nothing, JSON, 1).count() == 0
 
 
+def test_added_tokens_in_token_files_and_packing(spark):
+    texts = {1: "a<|endoftext|>b", 2: "plain text", 3: "<|endoftext|>", 4: "中 <|endoftext|> é"}
+    library = Tokenizer.from_file(JSON)
+    want = {d: [*library.encode(t, add_special_tokens=False).ids, 2] for d, t in texts.items()}
+    assert want[1] == [64, 50256, 65, 2]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = sorted(token_files.token_files(docs, JSON, 2).collect(), key=lambda r: r.start)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == want
+    assert [r.start for r in got] == np.cumsum([0, *(len(want[d]) for d in (1, 2, 3))]).tolist()
+    assert {r.doc_id: r.doc_tokens for r in packing.pack_documents(docs, JSON, 2).collect()} == {
+        d: len(ids) for d, ids in want.items()
+    }
+
+
 def jump(key, shards):
     key, bucket, target = key % 2**64, -1, 0
     while target < shards:

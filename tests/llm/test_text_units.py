@@ -61,6 +61,18 @@ def test_library_ids_by_piece(text):
     assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize(
+    "text",
+    ["a<|endoftext|>b", "<|endoftext|>", "it 's <|endoftext|> <|endoftext|>\n x", "中<|endoftext|>é", "<|endoftext |>", "<|startoftext|>a"],
+)
+def test_added_tokens_have_their_ids(name, text):
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        encode = library_ids.text_encoder(name, file.read())
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_other_vocabularies_go_through_the_library():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         encode = library_ids.text_encoder("words", file.read())
