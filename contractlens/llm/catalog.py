@@ -64,7 +64,7 @@ def op5_jump_shards(spark, sf):
 
 
 def op6_warc(spark, sf):
-    return warc.archive_pages(read(spark, sf, "pages"), min_bytes=0)
+    return warc.archive_pages(read(spark, sf, "pages"), min_bytes=0, every_row=True)
 
 
 def op7_exact_dedup(spark, sf):

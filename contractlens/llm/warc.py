@@ -27,6 +27,8 @@ SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest
 
 #: Records of one archive at most.
 RECORDS_PER_FILE = 30_000
+#: Copies of one row that one task numbers at a time.
+COPIES = 256
 
 RECORD_SCHEMA = (
     "record_type string, record_id string, concurrent_to string, refers_to string, target_uri string, "
@@ -46,22 +48,25 @@ def record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
     return VERSION + head.encode() + END + block
 
 
-def record_id(page: object, digest: str, kind: str) -> str:
-    name = uuid.UUID(bytes=hashlib.md5(f"{page} {digest} {kind}".encode()).digest())
+def record_id(page: object, url: str | None, digest: str, copy: int, kind: str) -> str:
+    name = uuid.UUID(bytes=hashlib.md5(repr((page, url, digest, copy, kind)).encode()).digest())
     return f"<urn:uuid:{name}>"
 
 
-def capture_records(page: int | None, url: str | None, payload: bytes, first: int | None, date: str) -> list[bytes]:
-    """The three records of a page. `first` is the page of the response to revisit."""
+def capture_records(
+    page: int | None, url: str | None, payload: bytes, first: tuple[int, str | None] | None, date: str, copy: int = 0
+) -> list[bytes]:
+    """The three records of a page. `first` is page and url of the response to revisit,
+    copy 0 of it; `copy` tells equal rows apart."""
     digest = base32_sha1(payload)
-    main = record_id(page, digest, "response")
+    main = record_id(page, url, digest, copy, "response")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     common = [("WARC-Target-URI", url), ("WARC-Date", date)]
     if first is None:
         kind, extra, block = "response", [], http.encode() + payload
     else:
         kind, block = "revisit", http.encode()
-        extra = [("WARC-Refers-To", record_id(first, digest, "response")), ("WARC-Profile", SAME_PAYLOAD)]
+        extra = [("WARC-Refers-To", record_id(*first, digest, 0, "response")), ("WARC-Profile", SAME_PAYLOAD)]
     answer = [
         ("WARC-Type", kind), ("WARC-Record-ID", main), *common, ("WARC-Payload-Digest", f"sha1:{digest}"),
         *extra, ("Content-Type", "application/http; msgtype=response"),
@@ -72,35 +77,66 @@ def capture_records(page: int | None, url: str | None, payload: bytes, first: in
     about = (f"page-id: {page}\r\n" if page is not None else "").encode() + f"payload-bytes: {len(payload)}\r\n".encode()
     return [
         record(
-            [("WARC-Type", "request"), ("WARC-Record-ID", record_id(page, digest, "request")), *side,
+            [("WARC-Type", "request"), ("WARC-Record-ID", record_id(page, url, digest, copy, "request")), *side,
              ("Content-Type", "application/http; msgtype=request")], request),
         record(answer, block),
         record(
-            [("WARC-Type", "metadata"), ("WARC-Record-ID", record_id(page, digest, "metadata")), *side,
+            [("WARC-Type", "metadata"), ("WARC-Record-ID", record_id(page, url, digest, copy, "metadata")), *side,
              ("Content-Type", "application/warc-fields")], about),
     ]
 
 
-def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, digest and first: rows whose payload a smaller page_id has already.
+def revisits(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """page_id, digest and first (page_id, url): payloads that a smaller page_id has already.
 
-    Payloads are counted before rows meet, so a payload of a third of all pages is one
-    row on one side of the join; the rows on the other side are narrow.
+    rows: page_id, url, digest, size. Payloads are counted before rows meet, so a payload
+    of a third of all pages is one row on one side of the join; the rows on the other side
+    are narrow.
     """
-    rows = cut_lineage(pages.select("page_id", "digest", F.octet_length("html").alias("size")))
+    page = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
     firsts = cut_lineage(
         rows.filter(F.col("size") >= min_bytes)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(page).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("digest", "first")
     )
-    return rows.join(firsts, "digest").filter("page_id > first").select("page_id", "digest", "first").distinct()
+    return rows.join(firsts, "digest").filter("page_id > first.page_id").select("page_id", "digest", "first").distinct()
+
+
+def numbered(rows: DataFrame, again: DataFrame, narrow: DataFrame, every_row: bool) -> DataFrame:
+    """page_id, url, html, first and copy: the rows to write.
+
+    Rows equal in id, url and payload are counted, become one row and are spelled out again
+    with a number, a few hundred at a time, so many copies of one row go to many tasks.
+    """
+    key = ["page_id", "url", "digest"]
+    counts = narrow.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counts = cut_lineage(counts if every_row else counts.filter("page_id IS NULL"))
+    joined = lambda some: some.join(again, ["page_id", "digest"], "left")
+    if counts.isEmpty():
+        return joined(rows).select("page_id", "url", "html", "first", F.lit(0).cast("bigint").alias("copy"))
+    several = counts.select(*[F.col(name).alias(f"of_{name}") for name in key], "n")
+    same = F.lit(True)
+    for name in key:
+        same &= F.col(name).eqNullSafe(F.col(f"of_{name}"))
+    alone = joined(rows.join(several, same, "left_anti")).withColumn("copy", F.lit(0).cast("bigint"))
+    once = rows.join(several, same, "left_semi").groupBy(*key).agg(F.first("html").alias("html"))
+    once = joined(once.join(several, same).select(*key, "html", "n"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("n"), F.col("start") + COPIES) - 1
+    copies = (
+        once.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES).cast("bigint"))))
+        .repartition(parts, *key, "start")
+        .withColumn("copy", F.explode(F.sequence("start", last)))
+    )
+    columns = ["page_id", "url", "html", "first", "copy"]
+    return alone.select(*columns).unionByName(copies.select(*columns))
 
 
 def write_archives(
     pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2020-01-01T00:00:00Z",
-    records_per_file: int = RECORDS_PER_FILE,
+    records_per_file: int = RECORDS_PER_FILE, every_row: bool = False,
 ) -> None:
     """Write the captures of pages (page_id, url, html) as gzip-compressed archives.
 
@@ -108,24 +144,27 @@ def write_archives(
     others revisit it.
 
     Defined cases: a null html is an empty payload; a null url is left out; a page
-    without an id is a response; a row repeated with its id is the same capture,
-    written again under the same record ids; further columns are left out; an
-    empty table gives no record.
+    without an id is a response, and every such row is a capture of its own; rows of one
+    id with other urls or payloads are captures of their own; a row repeated with its id
+    and url is the same capture, written again under the same record ids, or with
+    `every_row` a capture of its own; further columns are left out; an empty table gives
+    no record.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    again = cut_lineage(revisits(rows, min_bytes))
+    narrow = cut_lineage(rows.select("page_id", "url", "digest", F.octet_length("html").alias("size")))
+    again = cut_lineage(revisits(narrow, min_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=256):
             out: list[bytes] = []
-            for page, url, html, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += capture_records(page, url, html.encode(), first, date)
+            for page, url, html, first, copy in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                of = first and (first["page_id"], first["url"])
+                out += capture_records(page, url, html.encode(), of, date, copy)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     (
-        rows.join(again, ["page_id", "digest"], "left")
-        .select("page_id", "url", "html", "first")
+        numbered(rows, again, narrow, every_row)
         .mapInArrow(run, "value binary")
         .select(F.col("value").cast("string").alias("value"))
         .write.option("lineSep", END.decode())
@@ -272,10 +311,10 @@ def resolve_captures(captures: DataFrame) -> DataFrame:
     )
 
 
-def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def archive_pages(pages: DataFrame, min_bytes: int = 0, every_row: bool = False) -> DataFrame:
     """Write the archives in the shared folder, read them back, assemble, resolve."""
     spark = pages.sparkSession
     path = scratch_path(spark, "archives")
-    write_archives(pages, path, min_bytes)
+    write_archives(pages, path, min_bytes, every_row=every_row)
     records = cut_lineage(read_records(spark, path, blocks=False))
     return resolve_captures(assemble_transactions(records))

@@ -325,6 +325,27 @@ def test_transactions_are_nested(spark, tmp_path):
     assert bytes(by_page[8].requests[0].block) == b"GET h X: y HTTP/1.1\r\n\r\n"
 
 
+def test_every_page_row_is_a_capture(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", 2)
+    rows = [(1, "a", "x"), (1, "b", "x"), (2, "c", "x"), (2, "c", "x"), (2, "d", "x"), (3, "e", "y"), (4, None, "x")]
+    rows += [(5, "f", "z")] * 5 + [(6, "g", "z")]
+    unknown = [(None, "u", "x"), (None, "v", "x"), (None, None, ""), (None, None, None), (None, "u", "only"), (None, "u", "x")]
+    frame = lambda some: spark.createDataFrame(some, "page_id long, url string, html string")
+    folder = str(tmp_path)
+    frame(rows).write.parquet(f"{folder}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    state, count, _, note = compare(spark, con, folder, "op6_warc", catalog.op6_warc, catalog.ORACLES["op6_warc"])
+    assert (state, count) == ("ok", len(rows)), note
+    # every row without an id is a response of its own, with or without the repeated ones
+    for every, known in ((True, len(rows)), (False, len(set(rows)))):
+        got = [tuple(r) for r in warc.archive_pages(frame(rows + unknown), every_row=every).collect()]
+        assert len(got) == known + len(unknown)
+        assert sorted((r[1], r[3], r[4]) for r in got if r[0] is None) == sorted(
+            (len(html or ""), "response", None) for _, _, html in unknown
+        )
+
+
 TALKS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "hello"),
     (2, 0, "user", "hi"), (2, 1, "assistant", "hello"), (2, 2, "user", "bye"),
