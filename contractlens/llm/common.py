@@ -7,9 +7,11 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contractlens.session import cut_lineage
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -29,6 +31,32 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def without_marked(
+    docs: DataFrame, marks: DataFrame, digest: Column, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, but for those that marks (doc_id, digest, kept;
+    one row for each id and digest) name: none of them stays if kept is false, and exactly
+    one if it is true. Null ids match each other.
+
+    `digest` is that of the text, of the same kind as in marks. Only rows of which one
+    stays are shuffled whole, after a first choice on the map side.
+    """
+    marks = cut_lineage(marks)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), digest.alias("digest"))
+    named = marks.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
+    others = rows.join(named, same, "left_anti").select("row.*")
+    several = named.filter("kept")
+    if several.isEmpty():
+        return others
+    chosen = (
+        rows.join(several, same, "left_semi")
+        .groupBy("doc_id", "digest")
+        .agg(F.min_by("row", F.coalesce(F.col("row")[text_col], F.lit(""))).alias("row"))
+    )
+    return others.unionByName(chosen.select("row.*"))
+
+
 def per_worker(key: tuple, make: Callable[[], object]) -> object:
     """What `make` returns, made once in each Python worker and kept between tasks.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from contractlens.llm.common import ASCII_LOWER, ASCII_UPPER, id_and_text
+from contractlens.llm.common import ASCII_LOWER, ASCII_UPPER, id_and_text, without_marked
 from contractlens.session import cut_lineage
 
 #: Digests that may be broadcast at most: the bound of the winners' table.
@@ -29,6 +29,10 @@ def normalised(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
+
+
 def _outcome(rows: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
@@ -58,9 +62,8 @@ def exact_duplicates(
     size never meet in one task.
     """
     plain = id_and_text(docs, id_col, text_col)
-    digest = F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))
     rows = cut_lineage(
-        plain.select("doc_id", digest.alias("digest")).withColumn("short", F.xxhash64("digest"))
+        plain.select("doc_id", text_digest(F.col("text")).alias("digest")).withColumn("short", F.xxhash64("digest"))
     )
     # at most `heavy` rows
     often = rows.agg(F.expr(f"approx_top_k(short, {heavy}, {counters})").alias("top")).select(
@@ -83,8 +86,18 @@ def exact_duplicates(
     return _outcome(heavy_rows).unionByName(_outcome(tail_rows))
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. Rows without an id stay."""
-    gone = exact_duplicates(docs, id_col, text_col).filter("NOT kept").select("doc_id")
-    ids = cut_lineage(gone.filter("doc_id IS NOT NULL").withColumnRenamed("doc_id", id_col))
-    return docs.join(ids, id_col, "left_anti").select(*docs.columns)
+def drop_exact_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_each: bool = False
+) -> DataFrame:
+    """The documents that stay, with all their columns, decided by id and text.
+
+    Rows that share the largest id of their group stay, and so do rows without an id; with
+    `one_each` exactly one row of each group stays.
+    """
+    found = exact_duplicates(docs, id_col, text_col).filter("group_size > 1")
+    marks = found.groupBy("doc_id", F.unhex("text_sha256").alias("digest")).agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    )
+    gone = "NOT kept OR n > 1" if one_each else "NOT kept AND doc_id IS NOT NULL"
+    digest = text_digest(F.coalesce(F.col(text_col), F.lit("")))
+    return without_marked(docs, marks.filter(gone).drop("n"), digest, id_col, text_col)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.llm.bpe import Memo
-from contractlens.llm.common import id_and_text, per_worker, slices
+from contractlens.llm.common import id_and_text, per_worker, slices, without_marked
 from contractlens.llm.components import connected_components
 from contractlens.session import cut_lineage, small_side
 
@@ -122,13 +122,15 @@ def distance_limit(threshold: float) -> int:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_shingles, class (digest of the set; null if
+    """doc_id, text_key (hash of the text), digest (of the text), n_shingles, class (digest of the set; null if
     empty), bands and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sizes, classes, bands, sketches = [], [], [], []
-            for text in batch["text"].to_pylist():
+            texts = batch["text"].to_pylist()
+            digests = [hashlib.sha256(text.encode()).digest() for text in texts]
+            for text in texts:
                 items = shingles(text, words)
                 sizes.append(len(items))
                 if not len(items):
@@ -142,18 +144,19 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 [
                     batch["doc_id"],
                     batch["text_key"],
+                    pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "n_shingles", "class", "bands", "sketch"],
+                ["doc_id", "text_key", "digest", "n_shingles", "class", "bands", "sketch"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
         run,
-        f"doc_id {kind}, text_key long, n_shingles long, class binary, bands array<long>, sketch array<long>",
+        f"doc_id {kind}, text_key long, digest binary, n_shingles long, class binary, bands array<long>, sketch array<long>",
     )
 
 
@@ -299,7 +302,17 @@ def near_duplicates(
     stay beside rows that have one; further columns are left out; an empty table
     gives no rows.
     """
-    plain = id_and_text(docs, id_col, text_col)
+    found = _grouped(id_and_text(docs, id_col, text_col), words, percent)
+    own = F.coalesce("component_id", "doc_id")
+    return found.select(
+        "doc_id", "n_shingles", own.alias("component_id"),
+        F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"),
+    )
+
+
+def _grouped(plain: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, digest of the text, n_shingles, component_id (null if none is found) and
+    group, the class that names the component (null without words), of every row."""
     rows = cut_lineage(signatures(plain, words))
     members = rows.filter("class IS NOT NULL")
     classes = cut_lineage(
@@ -349,22 +362,31 @@ def near_duplicates(
     )
     named = cut_lineage(named)
     least = cut_lineage(named.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    groups = cut_lineage(named.select("class", "root").join(least, "root").select("class", "component_id"))
-    own = F.coalesce("component_id", "doc_id")
-    return (
-        rows.select("doc_id", "n_shingles", "class")
-        .join(groups, "class", "left")
-        .select(
-            "doc_id", "n_shingles", own.alias("component_id"),
-            F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"),
-        )
+    groups = cut_lineage(named.select("class", "root").join(least, "root").select("class", "root", "component_id"))
+    return rows.select("doc_id", "digest", "n_shingles", "class").join(groups, "class", "left").select(
+        "doc_id", "digest", "n_shingles", "component_id", F.coalesce("root", "class").alias("group")
     )
 
 
 def drop_near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents that stay, with all their columns. Rows without an id stay."""
-    found = near_duplicates(docs, words, percent, id_col, text_col)
-    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col))
-    return docs.join(cut_lineage(gone), id_col, "left_anti").select(*docs.columns)
+    """The documents that stay, with all their columns: exactly one row of each group, that
+    with the smallest id (then the smallest digest of the text; rows without an id come
+    last). Documents without words are groups by id and text.
+
+    Decided by id and text: a row that goes takes no other text of its id along.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    digest = F.unhex(F.sha2(text.cast("binary"), 256))
+    found = cut_lineage(_grouped(id_and_text(docs, id_col, text_col), words, percent))
+    keys = found.groupBy("group", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    # one row for each group with several rows, found with a choice on the map side
+    firsts = found.filter("group IS NOT NULL").groupBy("group").agg(
+        F.min(rank).alias("first"), F.count(F.lit(1)).alias("size")
+    ).filter("size > 1").drop("size").withColumnRenamed("group", "of")
+    marks = keys.join(firsts, F.col("group") == F.col("of"), "left").select(
+        "doc_id", "digest", "n", (F.col("first").isNull() | rank.eqNullSafe(F.col("first"))).alias("kept")
+    )
+    return without_marked(docs, marks.filter("NOT kept OR n > 1").drop("n"), digest, id_col, text_col)

@@ -406,6 +406,38 @@ def test_same_rows_as_sql(spark, tables, name):
     assert state == "ok", note
 
 
+def test_stages_keep_one_row_of_each_group(spark):
+    long, other = LONG, " ".join(f"z{i}" for i in range(300))
+    rows = [
+        (5, "x"), (9, "x"), (5, "y"),  # (5, "y") stays though (5, "x") goes
+        (7, "twice"), (7, "twice"), (8, "One"), (8, "one"), (None, "none"), (None, "none"), (None, "x"),
+        (None, "a text"), (3, ""), (3, None), (4, "\t"),
+    ]
+    frame = lambda some: spark.createDataFrame(some, "doc_id long, text string").withColumn("kept", F.lit("own"))
+    got = corpus_pipeline.exact_dedup(spark, frame(rows).repartition(3), FOLDER)
+    assert got.columns == ["doc_id", "text", "kept"]
+    assert Counter((r.doc_id, lower(r.text)) for r in got.collect()) == Counter(
+        [(9, "x"), (5, "y"), (7, "twice"), (8, "one"), (None, "none"), (None, "a text"), (3, ""), (4, "\t")]
+    )
+    # without one_each an id with a text that goes keeps its other text too
+    plain = exact_dedup.drop_exact_duplicates(frame(rows)).collect()
+    assert (5, "y") in {(r.doc_id, r.text) for r in plain} and (5, "x") not in {(r.doc_id, r.text) for r in plain}
+
+    rows = [
+        (1, long), (2, near(long, 100)), (2, other), (2, "short one"),  # only the near copy of 2 goes
+        (6, near(other, 50)), (7, "again and again"), (7, "again and again"), (None, near(long, 7)),
+        (None, "no id at all"), (None, "no id at all"), (None, "no id as well"), (3, ""), (3, ""), (3, " "), (None, None), (None, ""),
+        (11, " ".join(WORDS[::-1])), (11, near(" ".join(WORDS[::-1]), 9)),  # alike under one id: one stays
+    ]
+    got = corpus_pipeline.near_dedup(spark, frame(rows).repartition(3), FOLDER).collect()
+    eleven = [r for r in got if r.doc_id == 11]
+    assert len(eleven) == 1
+    assert Counter((r.doc_id, r.text or "") for r in got if r.doc_id != 11) == Counter(
+        [(1, long), (2, other), (2, "short one"), (7, "again and again"), (None, "no id at all"),
+         (None, "no id as well"), (3, ""), (3, " "), (None, "")]
+    )
+
+
 def test_pipeline(spark):
     """Each stage does to its input what a plain version does."""
     docs = common.read(spark, FOLDER, "documents").cache()
