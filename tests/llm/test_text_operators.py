@@ -72,7 +72,6 @@ def nothing(spark):
 
 def ids_by_library(text, end=None):
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     return np.array(library.encode(text or "", add_special_tokens=False).ids + ([end] if end else []), "<u4")
 
 
