@@ -128,7 +128,11 @@ class Encoder:
 
 
 class Memo(dict):
-    """Results by piece of text, in two generations of bounded size."""
+    """Results by piece of text, in two generations.
+
+    A generation is bounded by its entries and, as pieces are at most `longest` characters
+    and results grow with them, in bytes.
+    """
 
     def __init__(self, make, limit: int = MEMO, longest: int = MEMO_CHARS):
         super().__init__()
@@ -141,7 +145,8 @@ class Memo(dict):
             if len(piece) > self.longest:
                 return found
         if len(self) >= self.limit:
-            self.old = dict(self)
+            self.old.clear()  # before the copy, so that there are never three generations
+            self.old.update(self)
             self.clear()
         self[piece] = found
         return found
@@ -215,7 +220,7 @@ def encode_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(
-            ("bpe", vocabulary, pattern), lambda: text_ids(ranks_of(data.value), pattern)
+            "bpe", ("encode", vocabulary, pattern), lambda: text_ids(ranks_of(data.value), pattern)
         )
         for batch in slices(batches):
             ids = [encoder.encode(text) for text in batch["text"].to_pylist()]
@@ -238,7 +243,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
         data = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = per_worker(("tokens", vocabulary), lambda: Encoder(ranks_of(data.value)).tokens)
+        tokens = per_worker("bpe", ("decode", vocabulary), lambda: Encoder(ranks_of(data.value)).tokens)
         find = tokens.__getitem__
         for batch in slices(batches):
             texts = [b"".join(map(find, array("I", ids or b""))) for ids in batch["ids"].to_pylist()]

@@ -31,6 +31,11 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def without_marked(
     docs: DataFrame, marks: DataFrame, digest: Column, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -42,7 +47,8 @@ def without_marked(
     stays are shuffled whole, after a first choice on the map side.
     """
     marks = cut_lineage(marks)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), digest.alias("digest"))
+    whole = F.struct(*[F.col(quoted(name)) for name in docs.columns])
+    rows = docs.select(whole.alias("row"), F.col(id_col).alias("doc_id"), digest.alias("digest"))
     named = marks.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "kept")
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
     others = rows.join(named, same, "left_anti").select("row.*")
@@ -57,16 +63,20 @@ def without_marked(
     return others.unionByName(chosen.select("row.*"))
 
 
-def per_worker(key: tuple, make: Callable[[], object]) -> object:
+def per_worker(owner: str, key: tuple, make: Callable[[], object]) -> object:
     """What `make` returns, made once in each Python worker and kept between tasks.
 
+    Only one owner (an operator) has things in a worker at a time: what others left there
+    is dropped first, so a job of many steps holds no more than its greediest step.
     Functions travel to the workers by value, so a module global would be made anew for
     every task.
     """
     home = sys.modules.setdefault("_kept_per_worker", types.ModuleType("_kept_per_worker"))
-    if key not in home.__dict__:
-        home.__dict__[key] = make()
-    return home.__dict__[key]
+    if getattr(home, "owner", None) != owner:
+        home.owner, home.things = owner, {}
+    if key not in home.things:
+        home.things[key] = make()
+    return home.things[key]
 
 
 def slices(

@@ -77,6 +77,6 @@ class LibraryIds(TextIds):
 def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:
     """Ids of a text, of two or four bytes each, by a vocabulary that is loaded once per
     worker; `name` tells vocabularies apart."""
-    found = per_worker(("library", name), lambda: LibraryIds(vocabulary))
+    found = per_worker("library_ids", (name,), lambda: LibraryIds(vocabulary))
     kind = "<u2" if found.kind == "H" else "<u4"
     return lambda text: np.frombuffer(found.encode(text), kind)

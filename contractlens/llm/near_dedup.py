@@ -72,7 +72,7 @@ def shingles(text: str, words: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(found) < words:
         return np.array([_hash(b"\0short\0" + b" ".join(found))], np.uint64)
-    memo = per_worker(("shingle words",), lambda: Memo(_hash))
+    memo = per_worker("near_dedup", ("words",), lambda: Memo(_hash))
     each = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
     total = np.zeros(len(found) - words + 1, np.uint64)
     for i in range(words):

@@ -46,7 +46,7 @@ def word_features(word: bytes) -> tuple[int, ...]:
 
 def features(text: str) -> np.ndarray:
     """Numbers of the features that a text has; 0, the bias, is always there."""
-    memo = per_worker(("toxicity words",), lambda: Memo(word_features))
+    memo = per_worker("toxicity", ("words",), lambda: Memo(word_features))
     words = set(text.lower().encode().translate(_TABLE).split())
     found = set(chain.from_iterable(map(memo.__getitem__, words)))
     found.add(0)
