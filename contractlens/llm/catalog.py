@@ -9,12 +9,15 @@ from contractlens.llm import (
     bpe,
     chat,
     exact_dedup,
+    langid,
     near_dedup,
     packing,
     phrases,
+    repair,
     sharding,
     token_files,
     toxicity,
+    vector_codes,
     warc,
 )
 from contractlens.llm.common import read
@@ -83,6 +86,20 @@ def op10_toxicity(spark, sf):
     return toxicity.score_toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def op11_vector_codes(spark, sf):
+    return vector_codes.encode_vectors(read(spark, sf, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+def op12_repair(spark, sf):
+    conversations = read(spark, sf, "conversations")
+    return repair.repair_conversations(repair.damaged(conversations), conversations)
+
+
+def op13_language(spark, sf):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return langid.identify_languages(read(spark, sf, "documents"), path)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -96,6 +113,9 @@ QUERIES = {
         op8_fingerprints,
         op9_chat_format,
         op10_toxicity,
+        op11_vector_codes,
+        op12_repair,
+        op13_language,
     )
 }
 
@@ -109,6 +129,8 @@ _BASE32 = """
     'string_agg', '')"""
 
 ORACLES = {
+    "op11_vector_codes": vector_codes.codes_sql("embeddings", 8, 16, 6),
+    "op12_repair": repair.repair_sql("conversations"),
     "op2_near_dedup": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'UPPER', 'LOWER'), '[^\x20\x09-\x0D]+') AS w

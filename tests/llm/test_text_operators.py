@@ -394,7 +394,7 @@ def test_toxicity_on_held_out_marks(spark):
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for name in ("documents", "conversations", "pages"):
+    for name in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{FOLDER}/{name}.parquet')")
     return con
 
