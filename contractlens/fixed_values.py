@@ -143,6 +143,11 @@ TOP_VENDORS_BY_YEAR = 10
 SMALL_CONTRACT_LIMIT = 25000
 BAND_LOW = 24000
 BAND_HIGH = 26000
+# rows of a report
+REPORT_ROWS = 50000
+YEARLY_ROWS = 10000
+VENDOR_ENTRY_ROWS = 1000
+DEPARTMENT_ROWS = 20000
 
 # --- fixed values: positions in the bulk CSV file ---------------------------
 CSV_WIDTH = 42

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.operators.claims import TAIL_ROWS, accepted_rows, at_most
+from contractlens.operators.contraction import forest_values
 from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
 from contractlens.session import cut_lineage
 
@@ -102,8 +103,9 @@ def _gathering(neighbours: DataFrame, tail_rows: int) -> DataFrame:
     """(d): the acting entries that gather something.
 
     An acting entry surely gathers when an entry that does not act falls to it. The
-    others gather exactly when an acting entry that falls to them gathers nothing,
-    which is settled from the earliest entries upwards.
+    others gather exactly when an acting entry that falls to them gathers nothing: an OR
+    of negations over a forest. A short rest is walked in order, a longer one is
+    contracted, in rounds that grow with the logarithm of its rows.
     """
     surely = neighbours.filter(~F.col("acts")).select(F.col("neighbour").alias("n")).distinct()
     acting = cut_lineage(
@@ -135,29 +137,11 @@ def _gathering(neighbours: DataFrame, tail_rows: int) -> DataFrame:
         return done.union(
             found.select(F.struct(F.col("fiscal").alias("source_fiscal"), "id").alias("d"))
         )
-    decided = judged.filter(~F.col("waits")).select("ord", F.col("sure").alias("gathers"))
-    waiting = judged.filter("waits").select("ord")
-    links = judged.filter(F.col("parent").isNotNull()).select(F.col("ord").alias("child"), "parent")
-    while not waiting.isEmpty():
-        state = (
-            links.join(
-                decided.select(F.col("ord").alias("d"), "gathers"), F.col("child") == F.col("d"), "left"
-            )
-            .groupBy("parent")
-            .agg(
-                F.coalesce(F.bool_or(~F.col("gathers")), F.lit(False)).alias("takes_child"),
-                F.bool_or(F.col("gathers").isNull()).alias("child_open"),
-            )
-        )
-        settled = cut_lineage(
-            waiting.join(state, F.col("ord") == F.col("parent"), "left").select(
-                "ord",
-                F.when(F.col("takes_child"), True).when(~F.col("child_open"), False).alias("gathers"),
-            )
-        )
-        waiting = settled.filter(F.col("gathers").isNull()).select("ord")
-        decided = cut_lineage(decided.union(settled.filter(F.col("gathers").isNotNull())))
-    return done.union(decided.filter("gathers").select("ord")).distinct()
+    settled, _ = forest_values(
+        judged.filter(F.col("parent").isNotNull()).select("parent", F.col("ord").alias("child"), F.lit(True).alias("flip")),
+        judged.filter(~F.col("waits")).select(F.col("ord").alias("node"), F.col("sure").alias("value")),
+    )
+    return done.union(settled.filter("value").select("node"))
 
 
 def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:

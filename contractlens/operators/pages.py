@@ -7,7 +7,6 @@ broadcast table, and a record is read from its page without any shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -112,12 +111,12 @@ def drop_broken_pages(pages: DataFrame, marker: str, html: str = "html") -> Data
 def select_paths(pages: DataFrame, paths: dict[str, Column], html: str = "html") -> DataFrame:
     """Add, per name, the inner HTML of everything that each row's path selects.
 
-    Runs in Arrow batches; a page is read once for all paths. Rows without a path get
-    no list.
+    Runs in Arrow batches; a page is read once for all paths. Only the page and its paths
+    go to Python and only the lists come back, the other columns stay where they are.
+    Rows without a path get no list.
     """
     names = list(paths)
-    lists = [T.StructField(name, T.ArrayType(T.StringType())) for name in names]
-    schema = T.StructType([*pages.schema.fields, *lists])
+    lists = T.StructType([T.StructField(name, T.ArrayType(T.StringType())) for name in names])
 
     def one(page, *rules):
         if not isinstance(page, str):
@@ -126,17 +125,13 @@ def select_paths(pages: DataFrame, paths: dict[str, Column], html: str = "html")
         found = iter(select_many(page, known)) if known else iter(())
         return [next(found) if isinstance(r, str) else None for r in rules]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rules = [batch[f"_path_{name}"] for name in names]
-            found = [one(*cells) for cells in zip(batch[html], *rules, strict=True)]
-            out = batch.drop(columns=[f"_path_{name}" for name in names])
-            for at, name in enumerate(names):
-                out[name] = [lists_of[at] for lists_of in found]
-            yield out
-
-    with_paths = pages.withColumns({f"_path_{name}": path for name, path in paths.items()})
-    return with_paths.mapInPandas(run, schema)
+    def run(held: pd.Series, *rules: pd.Series) -> pd.DataFrame:
+        found = [one(*cells) for cells in zip(held, *rules, strict=True)]
+        return pd.DataFrame({name: [row[at] for row in found] for at, name in enumerate(names)})
+
+    found = F.pandas_udf(run, lists)(F.col(html), *paths.values())
+    columns = [F.col(f"_found.{name}").alias(name) for name in names]
+    return pages.withColumn("_found", found).select(*pages.columns, *columns)
 
 
 def select_all(pages: DataFrame, path: Column, name: str, html: str = "html") -> DataFrame:

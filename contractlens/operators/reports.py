@@ -1,6 +1,7 @@
 """Counts, sums and top lists over contracts and the yearly export.
 
-`owner` and `vendor` parameters are optional filters. Reports that the departments
+`owner` and `vendor` parameters are optional filters, `limit` bounds the rows of a report
+(None: all of them). Contract reports take the contracts or their report base. Reports that the departments
 or the top vendors each need exist once for all of them ("by_owner", "by_vendor"),
 so no loop of point queries is needed.
 """
@@ -16,122 +17,172 @@ from contractlens.operators.flags import equals_if_given, valid_entries, year_ra
 Years = tuple[int, int]
 
 
+#: What the contract reports group and filter by.
+BASE_KEYS = [
+    "owner_acronym", "gen_vendor_normalized", "source_year", "source_fiscal", "source_origin",
+    "gen_is_error", "gen_is_duplicate", "gen_is_amendment", "gen_is_most_recent_value",
+]
+ENTRIES, TOTAL = "_entries", "_total"
+
+
+def weighted(contracts: DataFrame) -> DataFrame:
+    """Contract rows with the number of entries each stands for and their total value; a
+    report base has these columns already."""
+    if ENTRIES in contracts.columns:
+        return contracts
+    one = F.col("id").isNotNull().cast("bigint")
+    return contracts.withColumns({ENTRIES: one, TOTAL: F.col("contract_value")})
+
+
+def report_base(contracts: DataFrame) -> DataFrame:
+    """One pass over the contracts for all reports: counts and totals by every key that a
+    report groups by or looks at.
+
+    Values are kept as the bands between the limits that reports ask for; each band is
+    told by one of its values. All report functions take a base in place of contracts.
+    """
+    value = F.col("contract_value")
+    limits = sorted({fixed.BAND_LOW, fixed.SMALL_CONTRACT_LIMIT, fixed.BAND_HIGH})
+    band = F.when(value.isNotNull(), sum(((value >= limit).cast("int") for limit in limits), F.lit(0)))
+    return contracts.groupBy(*BASE_KEYS, band.alias("_band")).agg(
+        F.count("id").alias(ENTRIES), F.sum(value).alias(TOTAL), F.min(value).alias("contract_value")
+    ).drop("_band")
+
+
+def value_base(v2: DataFrame) -> DataFrame:
+    """The same for the yearly export."""
+    return v2.groupBy("owner_acronym", "vendor_normalized", "effective_year").agg(
+        F.sum("yearly_value").alias("yearly_value")
+    )
+
+
+def _count_if(condition: Column | None = None) -> Column:
+    entries = F.col(ENTRIES) if condition is None else F.when(condition, F.col(ENTRIES))
+    return F.coalesce(F.sum(entries), F.lit(0).cast("bigint"))
+
+
 def _split() -> list[Column]:
     return [
-        F.count("id").alias("total_entries"),
-        F.count_if(~F.col("gen_is_amendment")).alias("total_contracts"),
-        F.count_if(F.col("gen_is_amendment")).alias("total_amendments"),
+        _count_if().alias("total_entries"),
+        _count_if(~F.col("gen_is_amendment")).alias("total_contracts"),
+        _count_if(F.col("gen_is_amendment")).alias("total_amendments"),
     ]
 
 
 def _sum_if(condition: Column, name: str) -> Column:
     """Sum over the rows that meet the condition; missing when there are none."""
-    return F.round(F.sum(F.when(condition, F.col("contract_value"))), 2).alias(name)
+    return F.round(F.sum(F.when(condition, F.col(TOTAL))), 2).alias(name)
 
 
 def _yearly_sum(name: str) -> Column:
     return F.round(F.sum("yearly_value"), 2).alias(name)
 
 
-def _entries(contracts: DataFrame, keys: list[str], present: str, limit: int = 50000) -> DataFrame:
-    counts = valid_entries(contracts, present).groupBy(*keys).agg(*_split())
-    return counts.orderBy(*keys).limit(limit)
+def _first_rows(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The first rows of a sorted report, or all of them."""
+    return rows if limit is None else rows.limit(limit)
+
+
+def _entries(contracts: DataFrame, keys: list[str], present: str, limit: int | None) -> DataFrame:
+    counts = valid_entries(weighted(contracts), present).groupBy(*keys).agg(*_split())
+    return _first_rows(counts.orderBy(*keys), limit)
 
 
-def entries_by_year_overall(contracts: DataFrame) -> DataFrame:
-    return _entries(contracts, ["source_year"], "source_year")
+def entries_by_year_overall(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
+    return _entries(contracts, ["source_year"], "source_year", limit)
 
 
-def entries_by_fiscal_overall(contracts: DataFrame) -> DataFrame:
-    return _entries(contracts, ["source_fiscal"], "source_fiscal")
+def entries_by_fiscal_overall(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
+    return _entries(contracts, ["source_fiscal"], "source_fiscal", limit)
 
 
-def entries_by_year(contracts: DataFrame) -> DataFrame:
-    return _entries(contracts, ["owner_acronym", "source_year"], "source_year")
+def entries_by_year(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
+    return _entries(contracts, ["owner_acronym", "source_year"], "source_year", limit)
 
 
-def entries_by_fiscal(contracts: DataFrame) -> DataFrame:
-    return _entries(contracts, ["owner_acronym", "source_fiscal"], "source_fiscal")
+def entries_by_fiscal(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
+    return _entries(contracts, ["owner_acronym", "source_fiscal"], "source_fiscal", limit)
 
 
 def effective_total_by_year(
-    v2: DataFrame, owner: str | None = None, years: Years = fixed.REPORT_YEARS
+    v2: DataFrame, owner: str | None = None, years: Years = fixed.REPORT_YEARS,
+    limit: int | None = fixed.YEARLY_ROWS,
 ) -> DataFrame:
     rows = equals_if_given(year_range(v2, "effective_year", years), "owner_acronym", owner)
     sums = rows.groupBy("owner_acronym", "effective_year").agg(_yearly_sum("sum_yearly_value"))
-    return sums.orderBy("owner_acronym", "effective_year").limit(10000)
+    return _first_rows(sums.orderBy("owner_acronym", "effective_year"), limit)
 
 
 def effective_overall_total_by_year(
-    v2: DataFrame, years: Years = fixed.REPORT_YEARS
+    v2: DataFrame, years: Years = fixed.REPORT_YEARS, limit: int | None = fixed.YEARLY_ROWS
 ) -> DataFrame:
     rows = year_range(v2, "effective_year", years)
     sums = rows.groupBy("effective_year").agg(_yearly_sum("sum_yearly_value"))
-    return sums.orderBy("effective_year").limit(10000)
+    return _first_rows(sums.orderBy("effective_year"), limit)
 
 
-def entries_errors_duplicates_by_year(contracts: DataFrame) -> DataFrame:
+def entries_errors_duplicates_by_year(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
     scraper, csv = F.col("source_origin") == 1, F.col("source_origin") == 2
     error, duplicate = F.col("gen_is_error"), F.col("gen_is_duplicate")
-    return (
-        contracts.groupBy("owner_acronym", "source_year")
+    rows = (
+        weighted(contracts).groupBy("owner_acronym", "source_year")
         .agg(
-            F.count("id").alias("total_entries"),
-            F.count_if(scraper).alias("total_source_scraper"),
-            F.count_if(csv).alias("total_source_csv"),
-            F.count_if(error).alias("error_entries"),
-            F.count_if(scraper & error).alias("error_source_scraper"),
-            F.count_if(csv & error).alias("error_source_csv"),
-            F.count_if(~duplicate).alias("total_non_duplicate_entries"),
-            F.count_if(duplicate).alias("total_duplicate_entries"),
+            _count_if().alias("total_entries"),
+            _count_if(scraper).alias("total_source_scraper"),
+            _count_if(csv).alias("total_source_csv"),
+            _count_if(error).alias("error_entries"),
+            _count_if(scraper & error).alias("error_source_scraper"),
+            _count_if(csv & error).alias("error_source_csv"),
+            _count_if(~duplicate).alias("total_non_duplicate_entries"),
+            _count_if(duplicate).alias("total_duplicate_entries"),
         )
         .orderBy("owner_acronym", F.asc_nulls_last("source_year"))
-        .limit(50000)
     )
+    return _first_rows(rows, limit)
 
 
 def _small_and_large() -> list[Column]:
     small = F.col("contract_value") < fixed.SMALL_CONTRACT_LIMIT
     large = F.col("contract_value") >= fixed.SMALL_CONTRACT_LIMIT
     return [
-        F.count("id").alias("total_original_entries"),
-        F.count_if(small).alias("entries_below_25k"),
-        F.count_if(large).alias("entries_above_25k"),
+        _count_if().alias("total_original_entries"),
+        _count_if(small).alias("entries_below_25k"),
+        _count_if(large).alias("entries_above_25k"),
         _sum_if(small, "original_sum_below_25k"),
         _sum_if(large, "original_sum_above_25k"),
     ]
 
 
-def entries_above_below_25k_by_year(contracts: DataFrame) -> DataFrame:
-    rows = valid_entries(contracts).filter(~F.col("gen_is_amendment"))
-    return (
-        rows.groupBy("owner_acronym", "source_year")
+def entries_above_below_25k_by_year(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
+    originals = valid_entries(weighted(contracts)).filter(~F.col("gen_is_amendment"))
+    rows = (
+        originals.groupBy("owner_acronym", "source_year")
         .agg(*_small_and_large())
         .orderBy("owner_acronym", F.asc_nulls_last("source_year"))
-        .limit(50000)
     )
+    return _first_rows(rows, limit)
 
 
-def entries_by_original_and_amendment(contracts: DataFrame) -> DataFrame:
+def entries_by_original_and_amendment(contracts: DataFrame, limit: int | None = fixed.REPORT_ROWS) -> DataFrame:
     amendment, latest = F.col("gen_is_amendment"), F.col("gen_is_most_recent_value")
-    return (
-        valid_entries(contracts)
+    rows = (
+        valid_entries(weighted(contracts))
         .groupBy("owner_acronym", "source_year")
         .agg(
-            F.count("id").alias("total_entries"),
-            F.count_if(~amendment).alias("original_contract_entries"),
-            F.count_if(amendment).alias("amendment_entries"),
-            F.count_if(latest).alias("most_recent_entries"),
+            _count_if().alias("total_entries"),
+            _count_if(~amendment).alias("original_contract_entries"),
+            _count_if(amendment).alias("amendment_entries"),
+            _count_if(latest).alias("most_recent_entries"),
             _sum_if(~amendment, "original_entries_sum"),
             _sum_if(latest, "most_recent_entries_sum"),
         )
         .orderBy("owner_acronym", F.asc_nulls_last("source_year"))
-        .limit(50000)
     )
+    return _first_rows(rows, limit)
 
 
 def _originals_in_range(contracts: DataFrame, owner: str | None, years: Years) -> DataFrame:
-    rows = valid_entries(contracts, "source_year").filter(~F.col("gen_is_amendment"))
+    rows = valid_entries(weighted(contracts), "source_year").filter(~F.col("gen_is_amendment"))
     return equals_if_given(year_range(rows, "source_year", years), "owner_acronym", owner)
 
 
@@ -141,7 +192,7 @@ def entries_above_below_25k_by_owner(
     """One department by year; without a department, all of them at once."""
     keys = ["source_year"] if owner else ["owner_acronym", "source_year"]
     rows = _originals_in_range(contracts, owner, years).groupBy(*keys).agg(*_small_and_large())
-    return rows.orderBy(*keys).limit(50000) if owner else rows
+    return rows.orderBy(*keys) if owner else rows
 
 
 def entries_in_25k_range_by_owner(
@@ -156,16 +207,16 @@ def entries_in_25k_range_by_owner(
         _originals_in_range(contracts, owner, years)
         .groupBy(*keys)
         .agg(
-            F.count("id").alias("total_original_entries"),
-            F.count_if(below).alias("entries_below_24k"),
-            F.count_if(between).alias("entries_between_24k_and_26k"),
-            F.count_if(above).alias("entries_above_26k"),
+            _count_if().alias("total_original_entries"),
+            _count_if(below).alias("entries_below_24k"),
+            _count_if(between).alias("entries_between_24k_and_26k"),
+            _count_if(above).alias("entries_above_26k"),
             _sum_if(below, "original_sum_below_24k"),
             _sum_if(between, "original_sum_between_24k_and_26k"),
             _sum_if(above, "original_sum_above_26k"),
         )
     )
-    return rows.orderBy(*keys).limit(50000) if owner else rows
+    return rows.orderBy(*keys) if owner else rows
 
 
 # --- top lists: largest first, missing sums first, ties by name --------------
@@ -189,7 +240,7 @@ def _value_by(
 
 
 def _entries_by(contracts: DataFrame, keys: list[str], years: Years) -> DataFrame:
-    rows = year_range(valid_entries(contracts, "source_year"), "source_year", years)
+    rows = year_range(valid_entries(weighted(contracts), "source_year"), "source_year", years)
     return rows.groupBy(*keys).agg(*_split())
 
 
@@ -208,13 +259,14 @@ def largest_companies_by_value(
 
 
 def largest_companies_by_value_by_year(
-    v2: DataFrame, owner: str | None = None, count: int = fixed.TOP_VENDORS_BY_YEAR, years: Years = fixed.REPORT_YEARS
+    v2: DataFrame, owner: str | None = None, count: int = fixed.TOP_VENDORS_BY_YEAR, years: Years = fixed.REPORT_YEARS,
+    limit: int | None = fixed.YEARLY_ROWS,
 ) -> DataFrame:
     rows = equals_if_given(v2, "owner_acronym", owner)
     top = largest_companies_by_value(rows, None, count, years)
     listed = keep_listed(rows, top, ["vendor_normalized"])
     sums = _value_by(listed, ["vendor_normalized", "effective_year"], years, "sum_yearly_value")
-    return sums.orderBy("vendor_normalized", "effective_year").limit(10000)
+    return _first_rows(sums.orderBy("vendor_normalized", "effective_year"), limit)
 
 
 def largest_companies_by_entries(
@@ -226,13 +278,14 @@ def largest_companies_by_entries(
 
 
 def largest_companies_by_entries_by_year(
-    contracts: DataFrame, owner: str | None = None, count: int = fixed.TOP_VENDORS_BY_YEAR, years: Years = fixed.REPORT_YEARS
+    contracts: DataFrame, owner: str | None = None, count: int = fixed.TOP_VENDORS_BY_YEAR,
+    years: Years = fixed.REPORT_YEARS, limit: int | None = fixed.VENDOR_ENTRY_ROWS,
 ) -> DataFrame:
     rows = equals_if_given(contracts, "owner_acronym", owner)
     top = largest_companies_by_entries(rows, None, count, years)
     listed = keep_listed(rows, top, ["gen_vendor_normalized"])
     counts = _entries_by(listed, ["gen_vendor_normalized", "source_year"], years)
-    return counts.orderBy("gen_vendor_normalized", "source_year").limit(1000)
+    return _first_rows(counts.orderBy("gen_vendor_normalized", "source_year"), limit)
 
 
 def largest_departments_by_value(
@@ -243,12 +296,12 @@ def largest_departments_by_value(
 
 
 def largest_departments_by_value_by_year(
-    v2: DataFrame, vendor: str, years: Years = fixed.REPORT_YEARS
+    v2: DataFrame, vendor: str, years: Years = fixed.REPORT_YEARS, limit: int | None = fixed.DEPARTMENT_ROWS
 ) -> DataFrame:
     """Every department of the vendor, so no list of departments is needed first."""
     rows = equals_if_given(v2, "vendor_normalized", vendor)
     sums = _value_by(rows, ["owner_acronym", "effective_year"], years, "sum_yearly_value")
-    return sums.orderBy("owner_acronym", "effective_year").limit(20000)
+    return _first_rows(sums.orderBy("owner_acronym", "effective_year"), limit)
 
 
 def largest_departments_by_entries(
@@ -259,11 +312,11 @@ def largest_departments_by_entries(
 
 
 def largest_departments_by_entries_by_year(
-    contracts: DataFrame, vendor: str, years: Years = fixed.REPORT_YEARS
+    contracts: DataFrame, vendor: str, years: Years = fixed.REPORT_YEARS, limit: int | None = fixed.DEPARTMENT_ROWS
 ) -> DataFrame:
     rows = equals_if_given(contracts, "gen_vendor_normalized", vendor)
     counts = _entries_by(rows, ["owner_acronym", "source_year"], years)
-    return counts.orderBy("owner_acronym", "source_year").limit(20000)
+    return _first_rows(counts.orderBy("owner_acronym", "source_year"), limit)
 
 
 def all_owner_acronyms(rows: DataFrame) -> DataFrame:

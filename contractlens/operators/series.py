@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contractlens.functions.money import table_currency
 from contractlens.operators.lookup import label_lookup
+from contractlens.session import cut_lineage
 
 
 def axis_table(spark, axis: Column, name: str) -> DataFrame:
@@ -93,11 +94,24 @@ def with_label_text(series: DataFrame, label: str) -> DataFrame:
 def label_positions(rows: DataFrame, label: str, order: list[str] | None = None) -> DataFrame:
     """0-based position of each distinct label, by first appearance in the order.
 
-    Only the distinct labels are numbered: charts have few of them.
+    Labels that first appear at the same place share a position. Ranges of places go to
+    tasks; a range is numbered by itself and starts at the number of distinct places in
+    the ranges before it. One number for each range comes to the driver.
     """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = rows.groupBy(label).agg(F.min(F.struct(*(order or [label]))).alias("_first"))
-    position = F.dense_rank().over(Window.orderBy("_first")) - 1
-    return first.select(label, position.cast("int").alias("position"))
+    # equal places are in one range
+    ranged = cut_lineage(first.repartitionByRange(parts, "_first").withColumn("_part", F.spark_partition_id()))
+    inside = F.dense_rank().over(Window.partitionBy("_part").orderBy("_first")) - 1
+    counts = ranged.groupBy("_part").agg(F.count_distinct("_first").alias("n")).collect()
+    before, offsets = 0, []
+    for row in sorted(counts):
+        offsets.append((row[0], before))
+        before += row[1]
+    starts = spark.createDataFrame(offsets, "_part int, _start int")
+    position = (F.col("_start") + F.col("_inside")).cast("int")
+    return ranged.withColumn("_inside", inside).join(F.broadcast(starts), "_part").select(label, position.alias("position"))
 
 
 def labelled_table(

@@ -12,11 +12,9 @@ from contractlens.operators.flags import accepted, flag_data_errors
 from contractlens.operators.lookup import owner_code, renamed_owner
 from contractlens.operators.pages import record_from_fields
 from contractlens.operators.grouping import numbered
-from contractlens.schema import CONTRACTS
+from contractlens.schema import CONTRACTS, ORIGIN_CSV, ORIGIN_PAGES
 from contractlens.sources.files import with_file_sequence, with_row_numbers
 
-ORIGIN_PAGES = 1
-ORIGIN_CSV = 2
 # ids of the two origins never meet: origin times this, plus the place in the origin
 ID_SPAN = 10**15
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlens.operators import effective
+from contractlens.operators import amendments, duplicates, effective
 from contractlens.operators.amendments import find_amendments
 from contractlens.operators.duplicates import find_duplicates
 from contractlens.operators.effective import effective_values
 from contractlens.operators.flags import reset_generated
+from contractlens.operators.grouping import all_equal
 from contractlens.schema import GENERATED
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, small_side
+from contractlens.sources import snapshots, writers
 
 # What the rules read; descriptions and other wide text stay out of the shuffles.
 KEYS = [
@@ -58,6 +60,103 @@ def update_all_metadata(rows: DataFrame) -> DataFrame:
     return base.join(flags, "id").select(*kept, *GENERATED.names)
 
 
+DUPLICATE = ["gen_is_duplicate", "gen_duplicate_via", "gen_duplicate_source_id"]
+AMENDMENT = ["gen_is_amendment", "gen_amendment_via", "gen_amendment_group_id"]
+
+
+def _in_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys, missing ones too, are among the groups."""
+    side = small_side(cut_lineage(groups.select(*keys).distinct()))
+    return rows.alias("r").join(side.alias("g"), all_equal("r", "g", keys), "left_semi")
+
+
+def changed_metadata(stored: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Fresh derived columns (id and the generated ones) of the rows that a change may touch.
+
+    stored: the flagged rows so far; added: rows without derived columns; removed: ids. The
+    change is followed through the rules: changed rows touch the (department, value)
+    groups in which duplicates are found; rows whose duplicate flags change there, and
+    changed rows, touch the (department, vendor) groups in which amendments are found;
+    effective values depend on these groups alone. All other rows keep what they have.
+    """
+    keys = [*KEYS, *DUPLICATE]
+    gone = removed.select(F.col("id").alias("gone")).distinct()
+    before = stored.select(*keys)
+    lost = before.join(gone, F.col("id") == F.col("gone"), "left_semi")
+    kept = before.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    fresh = added.select(*KEYS)
+    for name in DUPLICATE:
+        fresh = fresh.withColumn(name, F.lit(None).cast(before.schema[name].dataType))
+    rows = cut_lineage(kept.unionByName(fresh))
+    changed = cut_lineage(lost.select(*KEYS).unionByName(fresh.select(*KEYS)))
+
+    groups = _in_groups(rows, changed, duplicates.GROUP)
+    held = groups.select(F.col("id").alias("of"), *[F.col(name).alias(f"was_{name}") for name in DUPLICATE])
+    marked = cut_lineage(find_duplicates(groups.drop(*DUPLICATE)))
+    same = F.lit(True)
+    for name in DUPLICATE:
+        same = same & F.col(name).eqNullSafe(F.col(f"was_{name}"))
+    flipped = marked.join(held, F.col("id") == F.col("of")).filter(~same).select(*amendments.GROUP)
+
+    touched = flipped.unionByName(changed.select(*amendments.GROUP))
+    others = rows.join(marked.select(F.col("id").alias("of")), F.col("id") == F.col("of"), "left_anti")
+    current = marked.select(*keys).unionByName(others.select(*keys))
+    linked = cut_lineage(find_amendments(_in_groups(current, touched, amendments.GROUP)))
+    return effective_values(linked).select("id", *GENERATED.names)
+
+
+def apply_changes(stored: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """The stored rows after rows were added and removed, with derived columns as a full run
+    would give; only the touched groups are derived again."""
+    fresh = cut_lineage(changed_metadata(stored, added, removed))
+    return merged(stored, added, removed, fresh)
+
+
+def merged(stored: DataFrame, added: DataFrame, removed: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored and added rows without the removed ones, with the fresh derived columns where
+    there are any."""
+    plain = [name for name in stored.columns if name not in GENERATED.names]
+    gone = removed.select(F.col("id").alias("gone")).distinct()
+    rows = stored.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    late = added.select(*plain)
+    for field in GENERATED:
+        late = late.withColumn(field.name, F.lit(None).cast(field.dataType))
+    every = rows.unionByName(late.select(*rows.columns))
+    new = fresh.select(F.col("id").alias("of"), F.struct(*GENERATED.names).alias("new"))
+    has = F.col("of").isNotNull()
+    return every.join(new, F.col("id") == F.col("of"), "left").select(
+        *[
+            F.when(has, F.col(f"new.{name}")).otherwise(F.col(name)).alias(name) if name in GENERATED.names else F.col(name)
+            for name in stored.columns
+        ]
+    )
+
+
+def change_stored(spark: SparkSession, path: str, schema, added: DataFrame, removed: DataFrame) -> int:
+    """Apply a change to a stored, flagged contracts table; returns the partitions rewritten.
+
+    A partition is rewritten if it gains or loses rows or if a derived column of one of its
+    rows changes. Rows are read whole in these partitions only.
+    """
+    narrow = [*KEYS, "source_origin", *GENERATED.names]
+    stored = snapshots.read(spark, path, schema).select(*dict.fromkeys(narrow))
+    fresh = cut_lineage(changed_metadata(stored, added, removed))
+    place = ["source_origin", "owner_acronym"]
+    gone = removed.select(F.col("id").alias("gone")).distinct()
+    lost = stored.join(gone, F.col("id") == F.col("gone"), "left_semi").select(*place)
+    new = fresh.select(F.col("id").alias("of"), *[F.col(name).alias(f"new_{name}") for name in GENERATED.names])
+    same = F.lit(True)
+    for name in GENERATED.names:
+        same = same & F.col(name).eqNullSafe(F.col(f"new_{name}"))
+    turned = stored.join(new, F.col("id") == F.col("of")).filter(~same).select(*place)
+    touched = cut_lineage(lost.unionByName(turned).unionByName(added.select(*place)).distinct())
+
+    def change(rows: DataFrame) -> DataFrame:
+        return merged(rows, added, removed, fresh)
+
+    return writers.rewrite_partitions(spark, path, schema, touched, change)
+
+
 def update_metadata(rows: DataFrame, action: str, owner: str | None = None) -> DataFrame:
     """One named step, for all departments or one; other rows pass unchanged.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contractlens import fixed_values as fixed
 from contractlens.operators import reports as r
+from contractlens.session import cut_lineage
 from contractlens.sources.writers import with_vendor_slug, write_report
 
 SIZES = ["original_sum_below_25k", "original_sum_above_25k"]
@@ -114,12 +115,17 @@ def vendor_reports(contracts: DataFrame, v2: DataFrame, years: r.Years) -> dict:
 def write_all_reports(
     contracts: DataFrame, v2: DataFrame, path: str, years: r.Years = fixed.REPORT_YEARS
 ) -> list[str]:
-    """Write every report; returns the folders written."""
+    """Write every report; returns the folders written.
+
+    The contracts and the yearly export are read once each, into bases that hold all that
+    the reports need, far narrower and shorter; the reports are made of these.
+    """
     written = []
+    base, values = cut_lineage(r.report_base(contracts)), cut_lineage(r.value_base(v2))
     parts = [
-        ("general", general_reports(contracts, v2, years), None),
-        ("departments", department_reports(contracts, v2, years), "owner_acronym"),
-        ("vendors", vendor_reports(contracts, v2, years), "vendor_slug"),
+        ("general", general_reports(base, values, years), None),
+        ("departments", department_reports(base, values, years), "owner_acronym"),
+        ("vendors", vendor_reports(base, values, years), "vendor_slug"),
     ]
     for folder, reports, by in parts:
         for name, (report, currency) in reports.items():

@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+# where a row comes from
+ORIGIN_PAGES, ORIGIN_CSV = 1, 2
 
 _TYPES = {
     "BIGINT": T.LongType(),

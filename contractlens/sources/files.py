@@ -11,6 +11,7 @@ from contractlens.operators.grouping import numbered
 from contractlens.operators.lookup import pairs
 from contractlens.schema import PAGE_METADATA, RECORD_JSON
 from contractlens.session import small_side
+from contractlens.sources.split_csv import csv_records, parse_records
 
 RAW_CSV = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(fixed.CSV_WIDTH)])
 
@@ -23,25 +24,20 @@ def csv_columns() -> dict[str, str]:
 def scan_contract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Bulk rows by position, header skipped, with the file and the row's place in it.
 
-    Quoted line ends need `multi_line`, which reads a file in one task: give the
-    bulk data as many files. Without quoted line ends pass False and files split.
+    Quoted line ends need `multi_line`. Files are split either way, so one large file is
+    read by many tasks.
     """
-    raw = (
-        spark.read.schema(RAW_CSV)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    if multi_line:
+        raw = parse_records(csv_records(spark, path), RAW_CSV).filter("block_start > 0 OR place > 0")
+        position = F.col("place")
+    else:
+        reader = spark.read.schema(RAW_CSV).option("header", True).option("enforceSchema", True)
+        raw = reader.option("escape", '"').option("mode", "PERMISSIVE").csv(path).withColumns(
+            {"file_path": F.col("_metadata.file_path"), "block_start": F.col("_metadata.file_block_start")}
+        )
+        position = F.monotonically_increasing_id()
     fields = [F.coalesce(F.col(raw_name), F.lit("")).alias(name) for raw_name, name in csv_columns().items()]
-    return raw.select(
-        *fields,
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("scan_position"),
-    )
+    return raw.select(*fields, "file_path", "block_start", position.alias("scan_position"))
 
 
 def with_row_numbers(rows: DataFrame, first: int = 2) -> DataFrame:

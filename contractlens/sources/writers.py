@@ -2,48 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.functions.money import plain_currency
 from contractlens.functions.text import slug
+from contractlens.operators.lookup import renormalize_vendors
+from contractlens.schema import ORIGIN_CSV, ORIGIN_PAGES
+from contractlens.sources import snapshots
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove one partition folder through the file system of the path."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+PARTITIONS = ["source_origin", "owner_acronym"]
 
 
 def replace_csv_rows(rows: DataFrame, path: str) -> None:
-    """All earlier bulk rows go, whatever their department; pages' rows stay."""
-    (
-        rows.drop("source_origin")
-        .hint("rebalance", "owner_acronym")
-        .write.mode("overwrite")
-        .partitionBy("owner_acronym")
-        .parquet(f"{path}/source_origin=2")
-    )
+    """All earlier bulk rows go, whatever their department; pages' rows stay.
+
+    Readers see the old rows until the new ones are written whole.
+    """
+    bulk = rows.withColumn("source_origin", F.lit(ORIGIN_CSV))
+    snapshots.replace(bulk, path, PARTITIONS, lambda old, new: old[0] == f"source_origin={ORIGIN_CSV}")
 
 
 def replace_owner_rows(rows: DataFrame, path: str, owners: list[str]) -> None:
-    """All earlier rows of these departments go, of both origins, then `rows` are written."""
-    spark = rows.sparkSession
-    for owner in owners:
-        _drop_folder(spark, f"{path}/source_origin=2/owner_acronym={owner}")
-    (
-        rows.drop("source_origin")
-        .hint("rebalance", "owner_acronym")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("owner_acronym")
-        .parquet(f"{path}/source_origin=1")
-    )
+    """All earlier rows of these departments go, of both origins, also of those that have
+    no row now, then `rows` are added as rows from pages.
+
+    Earlier page rows of any other department among `rows` go too. Readers see the old
+    rows until the new ones are written whole; a load that fails changes nothing.
+    """
+    named = {snapshots.folder_name(rows.sparkSession, "owner_acronym", owner) for owner in owners}
+    pages = rows.withColumn("source_origin", F.lit(ORIGIN_PAGES))
+    snapshots.replace(pages, path, PARTITIONS, lambda old, new: old[1] in named or old in new)
 
 
 def read_contracts(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return snapshots.read(spark, path, schema)
+
+
+def rewrite_partitions(
+    spark: SparkSession, path: str, schema, touched: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Replace the partitions named in `touched` (the partition columns) by what `change`
+    makes of their rows; returns how many. The others' files stay as they are.
+
+    Partitions are departments of an origin, so their names come to the driver.
+    """
+    names = {
+        tuple(snapshots.folder_name(spark, column, value) for column, value in zip(PARTITIONS, row, strict=True))
+        for row in touched.select(*PARTITIONS).distinct().collect()
+    }
+    if names:
+        rows = snapshots.read(spark, path, schema, names.__contains__)
+        snapshots.replace(change(rows), path, PARTITIONS, lambda old, new: old in names)
+    return len(names)
+
+
+def renormalize_contracts(
+    spark: SparkSession, path: str, schema, table: DataFrame,
+    clean: str = "gen_vendor_clean", normalized: str = "gen_vendor_normalized",
+) -> int:
+    """Apply changed aliases to the stored contracts, copy on write.
+
+    Names and partition columns alone tell which departments hold a name whose parent is
+    another one now; only these are rewritten. Returns the number of partitions.
+    """
+    names = snapshots.read(spark, path, schema).select(clean, normalized, *PARTITIONS)
+    was = names.groupBy(*names.columns).agg(F.lit(1).alias("one")).withColumn("was", F.col(normalized))
+    touched = renormalize_vendors(was, table, clean, normalized).filter(~F.col(normalized).eqNullSafe(F.col("was")))
+    change = lambda rows: renormalize_vendors(rows, table, clean, normalized)
+    return rewrite_partitions(spark, path, schema, touched, change)
 
 
 def report_text(report: DataFrame, currency: list[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from contractlens.functions.text import page_key, strip_session_id
 from contractlens.plans.metadata import update_all_metadata
 from contractlens.plans.store import write_partitioned
+from contractlens.session import cut_lineage
+from contractlens.streaming.key_index import known_keys, store_keys
 
 STORED_KEY = "page_key"
 
@@ -23,24 +25,24 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 def store_new_pages(batch: DataFrame, batch_id: int, path: str) -> None:
     """Append the pages of one batch whose key is not stored yet.
 
-    Every batch has a folder of its own that is written as a whole, so a repeated
-    batch leaves the same files. Keys of earlier batches are found by an anti join on
-    the stored key column alone; no streaming state grows with the pages.
+    Every batch has folders of its own that are written as a whole, so a repeated batch
+    leaves the same files. Keys of earlier batches are found through the key index, which
+    reads only the buckets of stored keys that the batch may hit; no streaming state grows
+    with the pages. Pages without a url have no key and are stored by every batch.
     """
-    spark = batch.sparkSession
     keyed = batch.withColumn(STORED_KEY, page_key(strip_session_id(F.col("url"))))
+    keys = cut_lineage(keyed.select(F.col(STORED_KEY).alias("key")).filter("key IS NOT NULL").distinct())
     # among copies inside the batch the one with the smallest page_id stays
     fresh = keyed.groupBy(STORED_KEY).agg(
         F.min_by(F.struct(*batch.columns), "page_id").alias("page")
     ).select(STORED_KEY, "page.*")
-    if _path_exists(spark, path):
-        earlier = (
-            spark.read.schema(f"{STORED_KEY} string, batch bigint").parquet(path)
-            .filter(F.col("batch") != batch_id)
-            .select(STORED_KEY)
-        )
-        fresh = fresh.join(earlier, STORED_KEY, "left_anti")
+    known = known_keys(keys, path, batch_id)
+    if known is not None:
+        known = cut_lineage(known)
+        fresh = fresh.join(known, F.col(STORED_KEY) == F.col("key"), "left_anti")
+        keys = keys.join(known, "key", "left_anti")
     fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    store_keys(keys, path, batch_id)
 
 
 def incremental_ingest(
