@@ -37,7 +37,7 @@ LANGUAGES = 256
 #: Letters of a word that is learned from, or scored beside others of its length.
 USUAL_LETTERS = 40
 #: Words that a worker keeps in mind.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 300_000
 #: Letters of words kept in mind.
 KEPT_IN_ALL = 4 << 20
 #: Places of a word, and letters of a text, that are looked at together, so that those of
@@ -51,36 +51,49 @@ UNKNOWN = "und"
 WORD, BETWEEN = re.compile(r"[^\W\d_]+"), re.compile(r"[\W\d_]")
 
 
-@dataclass
 class Pieces:
-    """The vocabulary's pieces of letters; number 0 stands for any letter without one."""
+    """The vocabulary's pieces of letters; number 0 stands for any letter without one.
 
-    numbers: dict[str, int]
+    They are kept as a trie in sorted arrays, so that all places of many words walk down it
+    side by side: `steps` holds node * letters + letter, `nodes` the node it leads to.
+    """
 
-    @classmethod
-    def of(cls, tokens: list[str]) -> Pieces:
-        kept = sorted(
-            {t for t in (t.lower() for t in tokens) if t.strip(MARK).isalpha() and len(t) <= LONGEST_PIECE
-             and MARK not in t[1:]} | {MARK}
+    def __init__(self, tokens: list[str]):
+        lower = {t.lower() for t in tokens if t.strip(MARK).isalpha() and MARK not in t[1:]} | {MARK}
+        kept = sorted(t for t in lower if len(t) <= LONGEST_PIECE)
+        self.numbers = {t: i for i, t in enumerate(kept, 1)}
+        self.letters = np.array(sorted({ord(c) for t in kept for c in t}), np.int64)
+        prefixes = sorted({t[:n] for t in kept for n in range(len(t) + 1)}, key=lambda t: (len(t), t))
+        node = {t: i for i, t in enumerate(prefixes)}
+        steps = sorted(
+            (node[t[:-1]] * len(self.letters) + int(np.searchsorted(self.letters, ord(t[-1]))), i)
+            for t, i in node.items() if t
         )
-        return cls({t: i for i, t in enumerate(kept, 1)})
+        self.steps, self.nodes = (np.array(column, np.int64) for column in zip(*steps, strict=True))
+        self.piece = np.array([self.numbers.get(t, -1) for t in prefixes], np.int32)
 
     def __len__(self) -> int:
         return len(self.numbers) + 1
 
-    def table(self, word: str) -> np.ndarray:
-        """By place and length - 1: the number of the piece that starts there; -1 if none
-        does. A single letter without a piece is number 0."""
-        n, find = len(word), self.numbers.get
-        out = np.full((n, LONGEST_PIECE), -1, np.int32)
-        for at in range(n):
-            for size in range(1, min(LONGEST_PIECE, n - at) + 1):
-                number = find(word[at : at + size])
-                if number is not None:
-                    out[at, size - 1] = number
-            if out[at, 0] < 0:
-                out[at, 0] = 0
-        return out
+    def grid(self, words: list[str]) -> np.ndarray:
+        """Of words of one length, by word, place and length - 1: the number of the piece
+        that starts there; -1 if none does. A single letter without a piece is number 0."""
+        count, n = len(words), len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        letter = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        letter[self.letters[letter] != codes] = -1
+        out = np.full((count * n, LONGEST_PIECE), -1, np.int32)
+        places, node = np.arange(count * n), np.zeros(count * n, np.int64)
+        for size in range(min(LONGEST_PIECE, n)):
+            inside = places % n + size < n
+            places, node = places[inside], node[inside]
+            step = node * len(self.letters) + letter[places + size]
+            found = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            there = (self.steps[found] == step) & (letter[places + size] >= 0)
+            places, node = places[there], self.nodes[found[there]]
+            out[places, size] = self.piece[node]
+        out[out[:, 0] < 0, 0] = 0
+        return out.reshape(count, n, LONGEST_PIECE)
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -111,8 +124,8 @@ def parts_of(text: str) -> Iterator[str]:
 
 
 def _grid(pieces: Pieces, words: list[str]) -> np.ndarray:
-    """The tables of words of one length: word, place, length - 1."""
-    return np.stack([pieces.table(MARK + word) for word in words])
+    """The pieces of words of one length, with the sign of a word's start before them."""
+    return pieces.grid([MARK + word for word in words])
 
 
 def _logsum(parts: list[np.ndarray]) -> np.ndarray:
@@ -151,7 +164,7 @@ def long_word(pieces: Pieces, word: str, logs: np.ndarray) -> np.ndarray:
     held = [np.zeros(logs.shape[1])]  # of the last places, the latest last
     for at in range(0, len(marked), STRETCH):
         head = max(0, at - LONGEST_PIECE + 1)
-        table = pieces.table(marked[head : at + STRETCH])
+        table = pieces.grid([marked[head : at + STRETCH]])[0]
         for stop in range(at + 1, min(at + STRETCH, len(marked)) + 1):
             sizes = range(1, min(LONGEST_PIECE, stop) + 1)
             held.append(_logsum([held[-size] + logs[table[stop - size - head, size - 1]] for size in sizes]))
@@ -186,7 +199,7 @@ class Scorer:
     """Word scores of a model, kept in mind in a table of bounded size."""
 
     def __init__(self, model: Model):
-        self.model, self.pieces = model, Pieces.of(model.tokens)
+        self.model, self.pieces = model, Pieces(model.tokens)
         self._forget()
 
     def _forget(self) -> None:
@@ -283,12 +296,10 @@ def expected_uses(pieces: Pieces, words: list[str], counts: np.ndarray, logs: np
     for some in by_length(words):
         grid = _grid(pieces, [words[i] for i in some])
         before, after = forward(grid, logs)[:, :, 0], backward(grid, logs)[:, :, 0]
-        for start in range(grid.shape[1]):
-            for size in range(1, min(LONGEST_PIECE, grid.shape[1] - start) + 1):
-                numbers = grid[:, start, size - 1]
-                weight = np.exp(before[start] + logs[numbers, 0] + after[start + size] - before[-1])
-                np.add.at(uses, numbers, weight * counts[some])
-    uses[-1] = 0.0
+        word, start, size = np.nonzero(grid >= 0)
+        numbers = grid[word, start, size]
+        weight = np.exp(before[start, word] + logs[numbers, 0] + after[start + size + 1, word] - before[-1, word])
+        uses += np.bincount(numbers, weight * counts[some][word], minlength=len(logs))
     return uses
 
 
@@ -308,7 +319,7 @@ def _round(counts: DataFrame, model: Model) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        pieces, total = Pieces.of(held.tokens), np.zeros((size, len(held.languages)))
+        pieces, total = Pieces(held.tokens), np.zeros((size, len(held.languages)))
         for batch in slices(batches, rows=4096):
             langs = np.array(batch["lang"].to_pylist(), object)
             words, n = np.array(batch["word"].to_pylist(), object), batch["n"].to_numpy()
@@ -352,7 +363,7 @@ def fit(
     tokens = vocabulary_pieces(vocabulary)
     shares.sort(key=lambda r: r.lang)
     n = np.array([r.n for r in shares], float)
-    start = probabilities(np.ones((len(Pieces.of(tokens)), len(shares))))
+    start = probabilities(np.ones((len(Pieces(tokens)), len(shares))))
     model = Model(tokens, [r.lang for r in shares], start, np.log(n / n.sum()))
     for _ in range(rounds):
         model.logs = probabilities(_round(counts, model))
