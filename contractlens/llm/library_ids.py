@@ -38,12 +38,12 @@ class LibraryIds(TextIds):
     byte-level.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, words: int = WORDS):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__(self._word, regex.compile(public_tokenizers.PATTERN).findall, WORDS)
+        super().__init__(self._word, regex.compile(public_tokenizers.PATTERN).findall, words)
         self.tokenizer = Tokenizer.from_str(vocabulary)
         # ids of two bytes where the vocabulary allows
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
@@ -74,9 +74,9 @@ class LibraryIds(TextIds):
         return super().encode(text) if by_piece else self._whole(text)
 
 
-def text_encoder(name: str, vocabulary: str) -> Callable[[str], np.ndarray]:
+def text_encoder(name: str, vocabulary: str, words: int = WORDS) -> Callable[[str], np.ndarray]:
     """Ids of a text, of two or four bytes each, by a vocabulary that is loaded once per
-    worker; `name` tells vocabularies apart."""
-    found = per_worker("library_ids", (name,), lambda: LibraryIds(vocabulary))
+    worker; `name` tells vocabularies apart, `words` bounds the worker's memo."""
+    found = per_worker("library_ids", (name, words), lambda: LibraryIds(vocabulary, words))
     kind = "<u2" if found.kind == "H" else "<u4"
     return lambda text: np.frombuffer(found.encode(text), kind)

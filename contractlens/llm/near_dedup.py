@@ -40,6 +40,8 @@ SKETCH = 512
 BLOCK = 256
 #: Parts of all shingles in which common ones are counted.
 PARTS = 64
+#: Word hashes that a worker keeps in mind, in each of two generations.
+WORDS = 100_000
 #: Classes whose texts are looked up by broadcast; more go through a shuffle.
 BROADCAST_CLASSES = 200_000
 
@@ -72,7 +74,7 @@ def shingles(text: str, words: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(found) < words:
         return np.array([_hash(b"\0short\0" + b" ".join(found))], np.uint64)
-    memo = per_worker("near_dedup", ("words",), lambda: Memo(_hash))
+    memo = per_worker("near_dedup", ("words",), lambda: Memo(_hash, WORDS))
     each = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
     total = np.zeros(len(found) - words + 1, np.uint64)
     for i in range(words):

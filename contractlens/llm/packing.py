@@ -22,6 +22,8 @@ from contractlens.llm.common import id_and_text, slices
 from contractlens.llm.library_ids import text_encoder
 
 TIERS = (2048, 1024, 512, 256)
+#: Words that a worker keeps in mind, in each of two generations.
+WORDS = 250_000
 #: Remainders that are packed together; what a task holds in memory.
 POOL = 4096
 #: Ids in a step group: that many windows of any one size.
@@ -146,7 +148,7 @@ def pack_documents(
         raise ValueError("tiers are powers of two, the longest first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(vocabulary, content.value)
+        encode = text_encoder(vocabulary, content.value, WORDS)
         base = TaskContext.get().partitionId() << 40
         end, sequence, group, kind = np.array([end_id], "<u4"), 0, 0, pa.int64()
         held: dict[int, tuple] = {}  # documents by number: id, ids
