@@ -7,7 +7,8 @@ in a table with 256 rows, with numpy.
 
 A file is a Parquet file of blocks. The fields of a block: part, first (ids of the
 same part before the block), doc_ids, lengths (ids per document), control, data. Parts
-follow each other in ascending doc_id order, and so do the blocks of a part.
+follow each other in ascending doc_id order, and so do the blocks of a part. The ids by
+rank lie in a file beside the blocks, so a folder is read without anything else.
 """
 
 from __future__ import annotations
@@ -73,26 +74,38 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 def encode_documents(
     docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_tokens and ids (two bytes each if the vocabulary allows, else four)."""
+    """doc_id, n_tokens and ids (two bytes each if the vocabulary allows, else four) of every
+    text; and after each task's texts a row with counts alone, how often it saw each id."""
     with open(vocabulary, encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
     end = np.array([end_id], "<u2" if end_id < 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(vocabulary, content.value)
+        encode, seen = text_encoder(vocabulary, content.value), np.zeros(0, np.int64)
+        names = ["doc_id", "n_tokens", "ids", "counts"]
         for batch in slices(batches):
+            kind = batch.schema.field("doc_id").type
             ids = [np.append(encode(text), end) for text in batch["text"].to_pylist()]
+            counts = np.bincount(np.concatenate(ids), minlength=len(seen))
+            counts[: len(seen)] += seen
+            seen = counts
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     pa.array([len(i) for i in ids], pa.int64()),
                     pa.array([narrow(i) for i in ids], pa.binary()),
+                    pa.nulls(len(ids), pa.binary()),
                 ],
-                ["doc_id", "n_tokens", "ids"],
+                names,
             )
+        if len(seen):
+            columns = [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([seen.astype("<i8").tobytes()], pa.binary())], names)
 
     plain = id_and_text(docs, id_col, text_col)
-    return plain.mapInArrow(run, f"doc_id {dict(plain.dtypes)['doc_id']}, n_tokens long, ids binary")
+    return plain.mapInArrow(
+        run, f"doc_id {dict(plain.dtypes)['doc_id']}, n_tokens long, ids binary, counts binary"
+    )
 
 
 def narrow(ids: np.ndarray) -> bytes:
@@ -108,32 +121,30 @@ def widen(stored: bytes) -> np.ndarray:
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
-    """id and how often it occurs: one row per id that occurs."""
+    """id and how often it occurs: one row per id that occurs. Of the encoded texts only the
+    tasks' counts are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
-        for batch in slices(batches):
-            ids = [widen(i) for i in batch["ids"].to_pylist()]
-            if ids:
-                counts = np.bincount(np.concatenate(ids), minlength=len(seen))
-                counts[: len(seen)] += seen
-                seen = counts
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], ["id", "n"]
-        )
+        for batch in slices(batches, rows=8):
+            for stored in batch["counts"].to_pylist():
+                seen = np.frombuffer(stored, "<i8")
+                used = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], ["id", "n"]
+                )
 
-    return encoded.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("counts").filter("counts IS NOT NULL")
+    return counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
     docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id",
     text_col: str = "text", block_ids: int = BLOCK_IDS,
-) -> np.ndarray:
-    """Write the token files and the table of ids by rank; returns that table.
+) -> None:
+    """Write the blocks (`path`/blocks) and the ids by rank (`path`/ids).
 
-    Every text is encoded once, into a table of its ids; counts over all of them give
-    the ranks. The counts brought to the driver are bounded by the vocabulary. Then the
+    Every text is encoded once, into a table of its ids, and counted as it is; the counts
+    give the ranks. The counts brought to the driver are bounded by the vocabulary. Then the
     ids go once through a shuffle that deals out ranges of doc_id; a task writes its
     range in order, block by block.
 
@@ -145,8 +156,8 @@ def write_token_files(
     table = scratch_path(spark, "encoded")
     encode_documents(docs, vocabulary, end_id, id_col, text_col).write.options(**SMALL).parquet(table)
     encoded = spark.read.parquet(table)
-    counts = id_counts(encoded).orderBy(F.desc("n"), "id").select("id").collect()
-    ids = np.array([row.id for row in counts], "<u4")
+    ids = id_counts(encoded).orderBy(F.desc("n"), "id").select("id").toArrow()["id"].to_numpy().astype("<u4")
+    encoded = encoded.filter("ids IS NOT NULL").select("doc_id", "ids")
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, "<u4")
     rank[ids] = np.arange(len(ids), dtype="<u4")
     shared = spark.sparkContext.broadcast(rank)
@@ -194,20 +205,36 @@ def write_token_files(
             f"part int, first long, doc_ids array<{kind}>, lengths array<long>, control binary, data binary",
         )
         .write.options(**SMALL)
-        .parquet(path)
+        .parquet(f"{path}/blocks")
+    )
+    _check_parts(spark, path)
+    table = pa.table({"rank": pa.array(range(len(ids)), pa.int64()), "id": pa.array(ids, pa.int64())})
+    spark.createDataFrame(table).coalesce(1).write.parquet(f"{path}/ids")
+
+
+def _check_parts(spark: SparkSession, path: str) -> None:
+    """Parts are numbered by task, which is the order of the ranges only as long as Spark
+    neither merges nor reorders them; this says so if that ever changes."""
+    known = lambda doc: F.struct(doc.isNotNull().alias("known"), doc.alias("doc"))
+    ends = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(
+        F.min(known(F.get("doc_ids", F.lit(0)))).alias("low"), F.max(known(F.element_at("doc_ids", -1))).alias("high")
     )
-    return ids
+    # one row per part
+    before = F.lag("high").over(Window.orderBy("part"))
+    if not ends.withColumn("before", before).filter(F.col("before") > F.col("low")).isEmpty():
+        raise RuntimeError(f"parts of {path} are not in the order of doc_id")
 
 
-def read_token_files(spark: SparkSession, path: str, ids: np.ndarray, keep_ids: bool = True) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32 and ids (null
     unless kept).
 
-    `ids` is the table that write_token_files returned. Blocks are decoded one at a
-    time; the totals of the parts, one row each, give the starts.
+    Blocks are decoded one at a time by the table of ids, which the vocabulary bounds; the
+    totals of the parts, one row each, give the starts.
     """
-    blocks = spark.read.parquet(path)
-    table = spark.sparkContext.broadcast(ids)
+    blocks = spark.read.parquet(f"{path}/blocks")
+    ids = spark.read.parquet(f"{path}/ids").orderBy("rank").select("id").toArrow()
+    table = spark.sparkContext.broadcast(ids["id"].to_numpy().astype("<u4"))
     kind = dict(blocks.dtypes)["doc_ids"][len("array<") : -1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,5 +271,5 @@ def read_token_files(spark: SparkSession, path: str, ids: np.ndarray, keep_ids:
 def token_files(docs: DataFrame, vocabulary: str, end_id: int, keep_ids: bool = True) -> DataFrame:
     """Write the files in the shared folder, then read them back."""
     path = scratch_path(docs.sparkSession, "tokens")
-    ids = write_token_files(docs, path, vocabulary, end_id)
-    return read_token_files(docs.sparkSession, path, ids, keep_ids)
+    write_token_files(docs, path, vocabulary, end_id)
+    return read_token_files(docs.sparkSession, path, keep_ids)
