@@ -22,6 +22,8 @@ WORD = 2**64
 USUAL_JUMPS = 64
 #: Rows of one shard that are numbered together.
 CHUNK_ROWS = 20_000
+#: Copies of one row that a task spells out.
+COPIES = 10_000
 
 
 def number(value: int) -> Column:
@@ -70,7 +72,7 @@ def jump_hash(key: Column, shards: int) -> Column:
 
 def assign_shards(
     docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS, copies: int = COPIES,
 ) -> DataFrame:
     """Shard, slot and next home of every row.
 
@@ -85,7 +87,7 @@ def assign_shards(
     The text is read once. Equal rows are counted before they are numbered, so a row
     repeated any number of times is one entry; entries are numbered within chunks of a
     shard, and the chunks' totals give each chunk its first slot. No task sees a whole
-    shard.
+    shard, and rows with more copies than `copies` are spelled out by many tasks.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = unsigned(F.col(id_col))
@@ -117,17 +119,28 @@ def assign_shards(
         "chunk",
         (F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("first"),
     )
-    slot = F.col("first") + F.col("place")
-    return (
-        numbered.join(firsts, ["shard", "chunk"])
-        .withColumn("slot", F.explode(F.sequence(slot, slot + F.col("copies") - 1)))
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("key").alias("law"),
-            "shard",
-            F.col("slot").cast("bigint").alias("slot"),
-            "grown_shard",
-        )
+    placed = numbered.join(firsts, ["shard", "chunk"]).withColumn("slot", F.col("first") + F.col("place"))
+    placed = placed.select("doc_id", "size", "text_crc32", "shard", "grown_shard", "slot", "copies")
+    often = placed.filter(F.col("copies") > copies)
+    if not entries.filter(F.col("copies") > copies).isEmpty():
+        placed = placed.filter(F.col("copies") <= copies).unionByName(_in_blocks(often, copies))
+    return placed.withColumn("slot", F.explode(F.sequence("slot", F.col("slot") + F.col("copies") - 1))).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        F.col("slot").cast("bigint").alias("slot"),
+        "grown_shard",
     )
+
+
+def _in_blocks(rows: DataFrame, copies: int) -> DataFrame:
+    """Rows of at most `copies` copies each, dealt out over all tasks."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    end = F.col("slot") + F.col("copies")
+    starts = F.sequence("slot", end - 1, F.lit(copies).cast("bigint"))
+    blocks = rows.select("*", end.alias("end"), F.explode(starts).alias("start"))
+    blocks = blocks.repartition(parts, "shard", "start")
+    held = F.least(F.lit(copies).cast("bigint"), F.col("end") - F.col("start"))
+    return blocks.withColumn("copies", held).withColumn("slot", F.col("start")).drop("start", "end")
