@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from contractlens.llm.common import ASCII_LOWER, ASCII_UPPER, id_and_text, without_marked
 from contractlens.session import cut_lineage
@@ -57,9 +56,10 @@ def exact_duplicates(
     beside rows that have one (a group without any id has a null keep_id and stays);
     further columns are left out; an empty table gives no rows.
 
-    Texts are read once, into a table of ids and digests. Tail groups hold at most about
-    rows / `heavy` rows each, which bounds a group of the shuffle; heavy groups of any
-    size never meet in one task.
+    Texts are read once, into a table of ids and digests. Heavy groups never meet in one
+    task. Tail groups hold at most about rows / `heavy` rows each; they are counted
+    with partial results, and the join of their rows to one row each is one that Spark
+    splits where it is uneven.
     """
     plain = id_and_text(docs, id_col, text_col)
     rows = cut_lineage(
@@ -79,9 +79,14 @@ def exact_duplicates(
     # several digests of one short hash could exceed the bound only by collisions
     heavy_rows = rows.join(F.broadcast(winners), "digest")
     rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    group = Window.partitionBy("digest")
-    tail_rows = rest.withColumn("keep_id", F.max("doc_id").over(group)).withColumn(
-        "group_size", F.count(F.lit(1)).over(group)
+    # counted with partial results; only rows of groups with several meet them again
+    several = rest.groupBy(F.col("digest").alias("of")).agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    ).filter("group_size > 1")
+    tail_rows = rest.join(several, F.col("digest") == F.col("of"), "left").select(
+        "doc_id", "digest",
+        F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
     )
     return _outcome(heavy_rows).unionByName(_outcome(tail_rows))
 
