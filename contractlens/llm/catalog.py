@@ -164,14 +164,15 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
   FROM (SELECT doc_id, sha256({_NORMALISED}) AS text_sha256 FROM documents))""",
     "op9_chat_format": """
 WITH placed AS (
-  SELECT conv_id, role, text,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
-  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)),
+  SELECT conv_id, alone, role, text,
+    row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations)),
 whole AS (
-  SELECT conv_id, count(*) AS n_turns,
+  SELECT conv_id, alone, count(*) AS n_turns,
     string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered,
     list(md5(role || chr(0) || text) ORDER BY place) AS turns
-  FROM placed GROUP BY conv_id),
+  FROM placed GROUP BY conv_id, alone),
 proper AS (
   SELECT DISTINCT n, list_aggregate(turns[1:n], 'string_agg', '') AS start
   FROM (SELECT turns, unnest(generate_series(1, n_turns - 1)) AS n FROM whole)),

@@ -54,34 +54,40 @@ def prefixes(turns: DataFrame) -> DataFrame:
     )
 
 
+def alone(turns: DataFrame) -> DataFrame:
+    """The rows without a conv_id, each as the first turn of a conversation of its own."""
+    first = turns.filter("conv_id IS NULL").withColumn("place", F.lit(1))
+    return first.withColumn("hash_a", _turn_hash(1)).withColumn("hash_b", _turn_hash(2))
+
+
 def maximal_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, n_turns and n_copies of the conversations to retain.
+    """conv_id, n_turns, n_copies and rolling hashes of the conversations to retain.
 
     A conversation goes if its turns (role and text, in order) are the first turns of a
     longer one, or equal those of one with a smaller conv_id. n_copies counts equal ones.
 
     Defined cases: turns are ordered by turn, then role, then text, nulls first; a null
-    role or text counts as empty; rows with a null conv_id form one conversation; rows
-    repeated within a conversation are turns of their own; further columns are left
-    out; an empty table gives no rows.
+    role or text counts as empty; every row without a conv_id is a conversation of one
+    turn; rows repeated within a conversation are turns of their own; further columns
+    are left out; an empty table gives no rows.
 
     Only hashes and places are shuffled after the turns were ordered. Prefixes and whole
     conversations are counted before they meet, so a first turn or a conversation that
     everybody shares is one row on either side of the anti-join.
     """
-    marks = cut_lineage(prefixes(_turns(rows)))
+    turns = _turns(rows)
+    marks = cut_lineage(prefixes(turns.filter("conv_id IS NOT NULL")))
     last = marks.groupBy("conv_id").agg(F.max_by(F.struct(*HASH), "place").alias("end"), F.max("place").alias("n_turns"))
     whole = last.select("conv_id", "n_turns", "end.*")
-    distinct = whole.groupBy("n_turns", *HASH).agg(
+    every = whole.unionByName(alone(turns).select("conv_id", F.col("place").alias("n_turns"), *HASH))
+    distinct = every.groupBy("n_turns", *HASH).agg(
         F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_copies")
     )
     # a prefix is proper where the same conversation goes on
     ends = whole.select("conv_id", F.col("n_turns").alias("place"))
-    proper = marks.join(
-        ends, (marks["conv_id"].eqNullSafe(ends["conv_id"])) & (marks["place"] == ends["place"]), "left_anti"
-    ).select(F.col("place").alias("n_turns"), *HASH).distinct()
+    proper = marks.join(ends, ["conv_id", "place"], "left_anti").select(F.col("place").alias("n_turns"), *HASH).distinct()
     return distinct.join(proper, ["n_turns", *HASH], "left_anti").select(
-        "conv_id", F.col("n_turns").cast("bigint"), "n_copies"
+        "conv_id", F.col("n_turns").cast("bigint").alias("n_turns"), "n_copies", *HASH
     )
 
 
@@ -94,9 +100,8 @@ def format_conversations(rows: DataFrame, template: str = TURN) -> DataFrame:
     head, rest = template.split("{role}")
     middle, tail = rest.split("{text}")
     turns = _turns(rows)
-    same = turns["conv_id"].eqNullSafe(kept["conv_id"])
     texts = (
-        turns.join(kept.select("conv_id"), same, "left_semi")
+        turns.join(kept.select("conv_id"), "conv_id", "left_semi")
         .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     )
@@ -105,5 +110,9 @@ def format_conversations(rows: DataFrame, template: str = TURN) -> DataFrame:
     unknown = F.filter("turns", lambda t: t["turn"].isNull())
     one = lambda t: F.concat(F.lit(head), t["role"], F.lit(middle), t["text"], F.lit(tail))
     rendered = F.array_join(F.transform(F.concat(unknown, known), one), "")
-    texts = texts.select(F.col("conv_id").alias("of"), rendered.alias("rendered"))
-    return kept.join(texts, kept["conv_id"].eqNullSafe(texts["of"])).drop("of")
+    texts = texts.select("conv_id", rendered.alias("rendered"))
+    columns = ["conv_id", "n_turns", "n_copies", "rendered"]
+    # rows without a conv_id are told apart by their hash alone
+    singles = alone(turns).groupBy(*HASH).agg(F.min(F.struct("role", "text")).alias("turn"))
+    unnamed = kept.filter("conv_id IS NULL").join(singles, HASH).withColumn("rendered", one(F.col("turn")))
+    return kept.join(texts, "conv_id").select(*columns).unionByName(unnamed.select(*columns))
