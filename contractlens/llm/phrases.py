@@ -16,14 +16,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.llm.common import id_and_text, slices
+from contractlens.session import cut_lineage
 
 LEVELS = 4
 #: Values in a sketch, and phrases that a level must have to be the upper one.
@@ -33,6 +36,12 @@ EMPTY = 0xFFFF
 MOST_RANGES = 20_000
 #: Characters that are parsed together.
 BATCH_CHARS = 1 << 18
+#: Rows of one id from which on it has ranges of its own, and of one such range about; the
+#: beginnings of texts that such ranges are cut by, sampled for each range; and more
+#: parts than an id can have.
+TIES, BEGINNING, SAMPLED, MOST_PARTS = 20_000, 48, 50.0, 1 << 40
+#: Copies of a result that a task spells out.
+COPIES = 10_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -204,41 +213,100 @@ def _range_of(doc_id: Column, bounds: list[int]) -> Column:
     return F.when(doc_id.isNull() | (coarse == 0), 0).otherwise(fine)
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (range, last, doc_id, text) sorted by id within ranges of ids.
+@dataclass
+class Hot:
+    """Ids that more than `ties` rows have, and whether so many rows have none."""
+
+    ids: list[int]
+    nulls: bool
+    ties: int
+
+    def __bool__(self) -> bool:
+        return bool(self.ids) or self.nulls
+
+
+def _most_ranges(spark: SparkSession) -> int:
+    return min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
+
+
+def hot_ids(docs: DataFrame, id_col: str = "doc_id", ties: int = TIES) -> Hot:
+    """Ids with more rows than a range should have; at most as many as there are ranges."""
+    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id"))
+    ties = max(ties, ids.count() // _most_ranges(docs.sparkSession))
+    found = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > ties).collect()
+    known = sorted(row.doc_id for row in found if row.doc_id is not None)
+    return Hot(known, len(known) < len(found), ties)
+
+
+def _hot_runs(rows: DataFrame, ties: int) -> DataFrame:
+    """doc_id, text, copies and part of the rows of hot ids: equal rows once, and the texts
+    of an id in parts by their beginnings, in order.
+
+    The beginnings between parts come from a sample by hash, a few for each part; they
+    decide where a part ends and nothing else.
+    """
+    runs = cut_lineage(rows.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")))
+    start = F.substring("text", 1, BEGINNING)
+    sizes = runs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod(F.xxhash64("text", F.lit("part")), F.lit(1 << 30))
+    share = F.least(F.lit(1.0), F.lit(SAMPLED) / F.lit(float(ties)) + F.lit(20.0) / F.col("n"))
+    chosen = runs.join(F.broadcast(sizes.withColumnRenamed("doc_id", "of")), F.col("doc_id").eqNullSafe(F.col("of")))
+    sample = defaultdict(list)
+    for row in chosen.filter(place < share * (1 << 30)).select("doc_id", "n", start.alias("start")).collect():
+        sample[(row.doc_id, row.n)].append(row.start)
+    part = F.lit(0)
+    for (doc, n), starts in sample.items():
+        starts.sort(key=str.encode)
+        count = -(-n // ties)
+        bounds = sorted({starts[i * len(starts) // count] for i in range(1, count)}, key=str.encode)
+        if bounds:
+            below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= start))
+            part = F.when(F.col("doc_id").eqNullSafe(F.lit(doc).cast("bigint")), below).otherwise(part)
+    return runs.withColumn("part", part)
+
+
+def with_next(docs: DataFrame, hot: Hot, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (range, last, doc_id, text, copies) sorted by id within ranges of ids.
 
     A range is whole in one partition, and after its rows stands a copy of the first row
     of the next range (after the last range: of the first) with last = 1. Ids are
     integers; null ids come first, and equal ids are sorted by text. The bounds of the
     ranges and the first ids of ranges come to the driver: a few for each partition.
+
+    A hot id, or the lack of one, has ranges of its own, cut by the texts' beginnings, in
+    which equal rows stand once with their number.
     """
     spark = docs.sparkSession
     plain = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     ids = plain.select("doc_id")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = min(4 * parts, MOST_RANGES)
+    parts, count = int(spark.conf.get("spark.sql.shuffle.partitions")), _most_ranges(spark)
     found = ids.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10 * count)).first()[0]
-    bounds = sorted(set(found or []))
-    place = _range_of(F.col("doc_id"), bounds)
-    heads = ids.groupBy(place.alias("range")).agg(
-        F.min("doc_id").alias("least"), F.bool_or(F.col("doc_id").isNull()).alias("nulls")
-    )
-    firsts = sorted((r.range, None if r.nulls else r.least) for r in heads.collect())
-    if not firsts:
-        return plain.select(F.lit(0).alias("range"), F.lit(0).alias("last"), "doc_id", "text")
-    follows = [(firsts[i - 1][0], first) for i, (_, first) in enumerate(firsts)]
-    wanted = spark.createDataFrame(follows, "after int, of bigint")
-    known = [f for _, f in firsts if f is not None]
-    rows = plain.filter(F.col("doc_id").isin(known) | F.col("doc_id").isNull()).groupBy("doc_id").agg(
-        F.min("text").alias("text")
-    )
-    copies = rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("of"))).select(
-        F.col("after").alias("range"), F.lit(1).alias("last"), "doc_id", "text"
-    )
-    own = plain.select(place.alias("range"), F.lit(0).alias("last"), "doc_id", "text")
-    return own.unionByName(copies).repartition(parts, "range").sortWithinPartitions(
-        "range", "last", "doc_id", "text"
+    # a hot id is alone between its two bounds; range 0 is for rows without an id
+    bounds = sorted({*(found or []), *hot.ids, *(i + 1 for i in hot.ids)})
+    place = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + _range_of(F.col("doc_id"), bounds)).cast("long") * MOST_PARTS
+    is_hot = F.coalesce(F.col("doc_id").isin(hot.ids), F.lit(hot.nulls)) if hot else F.lit(False)
+    cold = plain.filter(~is_hot).select(place.alias("range"), "doc_id", "text", F.lit(1).cast("bigint").alias("copies"))
+    heads = ids.filter(~is_hot).groupBy(place.alias("range")).agg(F.min("doc_id").alias("least")).collect()
+    known = [row.least for row in heads if row.least is not None]
+    first = plain.filter(~is_hot & (F.col("doc_id").isin(known) | F.col("doc_id").isNull()))
+    first = first.groupBy(place.alias("range")).agg(F.min(F.struct("doc_id", "text")).alias("head"))
+    ranges = [row.range for row in heads]
+    if hot:
+        runs = cut_lineage(_hot_runs(plain.filter(is_hot), hot.ties).withColumn("range", place + F.col("part")))
+        more = runs.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("head"))
+        ranges += [row.range for row in more.select("range").collect()]
+        first = first.unionByName(more)
+        cold = cold.unionByName(runs.select("range", "doc_id", "text", "copies"))
+    own = cold.withColumn("last", F.lit(0))
+    columns = ["range", "last", "doc_id", "text", "copies"]
+    if not ranges:
+        return own.select(*columns)
+    ranges.sort()
+    follows = spark.createDataFrame([(ranges[i - 1], r) for i, r in enumerate(ranges)], "after bigint, of bigint")
+    copied = first.join(F.broadcast(follows), F.col("range") == F.col("of")).select(
+        F.col("after").alias("range"), F.lit(1).alias("last"), "head.doc_id", "head.text", F.lit(1).cast("bigint").alias("copies")
     )
+    return own.select(*columns).unionByName(copied).repartition(parts, "range").sortWithinPartitions(*columns[:-1])
 
 
 def edited(text: str, following: str) -> str:
@@ -247,7 +315,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def compare_with_edits(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ties: int = TIES
+) -> DataFrame:
     """Fingerprints of every text and of its edit, and how alike they are.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited
@@ -259,20 +329,27 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "times"]
+        kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.int64()]
 
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            """rows: range, last, doc_id, text; the last one is there as a next one only."""
+            """rows: range, last, doc_id, text, copies; the last one is there as a next one
+            only. All copies of a row but one are followed by another copy."""
             texts = [r[3] for r in rows]
-            pairs = [(i, edited(texts[i], texts[i + 1])) for i in range(len(rows) - 1) if not rows[i][1]]
-            prints = fingerprints(texts + [text for _, text in pairs])
+            pairs = []
+            for i in range(len(rows) - 1):
+                if not rows[i][1]:
+                    pairs.append((i, i + 1, 1))
+                    if rows[i][4] > 1:
+                        pairs.append((i, i, rows[i][4] - 1))
+            edits = [edited(texts[i], texts[j]) for i, j, _ in pairs]
+            prints = fingerprints(texts + edits)
             out = []
-            for at, (i, text) in enumerate(pairs):
+            for at, (i, j, times) in enumerate(pairs):
                 own, other = prints[i], prints[len(texts) + at]
-                digest = hashlib.sha256(text.encode()).hexdigest()
-                near = likeness(own, other), likeness(own, prints[i + 1])
-                out.append((rows[i][2], len(texts[i]), digest, own, other, *near))
+                digest = hashlib.sha256(edits[at].encode()).hexdigest()
+                near = likeness(own, other), likeness(own, prints[j])
+                out.append((rows[i][2], len(texts[i]), digest, own, other, *near, times))
             columns = list(zip(*out, strict=True)) or [[] for _ in names]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
@@ -289,8 +366,16 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if held:
             yield done(held)
 
-    return with_next(docs, id_col, text_col).mapInArrow(
+    hot = hot_ids(docs, id_col, ties)
+    found = with_next(docs, hot, id_col, text_col).mapInArrow(
         run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
+        "near_edited double, near_next double, times long",
     )
+    if not hot:
+        return found.drop("times")
+    # blocks of copies go to many tasks, which spell them out
+    found = found.withColumn("start", F.explode(F.expr(f"sequence(0L, times - 1, {COPIES}L)")))
+    found = found.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "edited_sha256", "start")
+    found = found.withColumn("times", F.least(F.col("times") - F.col("start"), F.lit(COPIES)))
+    return found.withColumn("copy", F.explode(F.expr("sequence(1L, times)"))).drop("start", "times", "copy")
