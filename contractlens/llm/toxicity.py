@@ -230,6 +230,12 @@ def score_toxicity(
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents that are not predicted to be toxic, with all their columns."""
+    """The documents that are not predicted to be toxic, with all their columns.
+
+    Defined cases: a null text counts as empty, and an empty text stays or goes by the
+    bias alone, which says clean; a text of any length is scored whole; repeated rows are
+    decided alike; rows without an id are scored like others; without any toxic mark, and
+    with an empty table, nothing goes; further columns pass through.
+    """
     score = score_udf(docs.sparkSession, fit(docs, labels, id_col=id_col, text_col=text_col))
     return docs.filter(score(F.col(text_col)) < 0.5)

@@ -264,7 +264,7 @@ def segmentations(word):
 
 @pytest.fixture(scope="module")
 def toy():
-    pieces = langid.Pieces.of([langid.MARK + "a", "a", "ab", "b", "ba", langid.MARK + "ab", "c", "12", "x▁y"])
+    pieces = langid.Pieces([langid.MARK + "a", "a", "ab", "b", "ba", langid.MARK + "ab", "c", "12", "x▁y"])
     rng = np.random.default_rng(3)
     return pieces, langid.probabilities(rng.random((len(pieces), 2)) * 9)
 
