@@ -19,22 +19,39 @@ from contractlens.session import cut_lineage
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the marks, does not reject."""
+    """Documents that the classifier, learned from the marks, does not reject.
+
+    Null and empty texts are decided by the classifier's bias, long ones as a whole, repeated
+    rows alike; further columns pass through; an empty table stays empty.
+    """
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z in lower case) the one with the largest doc_id."""
+    """Of equal texts (A-Z in lower case) the one with the largest doc_id.
+
+    Null and empty texts are one group. Of repeated rows, and of equal texts without an id,
+    exactly one stays; further columns pass through; an empty table stays empty.
+    """
     return drop_exact_duplicates(docs, one_each=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
+    """One document of each group of near duplicates, the one with the smallest doc_id.
+
+    Texts without words are like nothing but equal rows, of which one stays; rows without an
+    id go before rows that have one; further columns pass through; an empty table
+    stays empty.
+    """
     return drop_near_duplicates(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of training sequences."""
+    """The pieces of training sequences.
+
+    A null or empty text is the end id alone; a long text is cut into pieces; repeated rows
+    are packed each; further columns are left out; an empty table gives no pieces.
+    """
     pieces = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
     return pieces.select(
         "doc_id",
