@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, small_side
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -43,13 +44,14 @@ def without_marked(
     one row for each id and digest) name: none of them stays if kept is false, and exactly
     one if it is true. Null ids match each other.
 
-    `digest` is that of the text, of the same kind as in marks. Only rows of which one
-    stays are shuffled whole, after a first choice on the map side.
+    `digest` is that of the text, of the same kind as in marks. Marks are broadcast while
+    they are few (they are counted), so that no text is shuffled; only rows of which one
+    stays are, after a first choice on the map side.
     """
     marks = cut_lineage(marks)
     whole = F.struct(*[F.col(quoted(name)) for name in docs.columns])
     rows = docs.select(whole.alias("row"), F.col(id_col).alias("doc_id"), digest.alias("digest"))
-    named = marks.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "kept")
+    named = small_side(marks.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "kept"))
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
     others = rows.join(named, same, "left_anti").select("row.*")
     several = named.filter("kept")
@@ -79,6 +81,16 @@ def per_worker(owner: str, key: tuple, make: Callable[[], object]) -> object:
     return home.things[key]
 
 
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system. A worker waits for its next
+    task beside an executor that may need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 8 << 20
 ) -> Iterator[pa.RecordBatch]:
@@ -95,3 +107,4 @@ def slices(
                 part = batch.slice(at, step)
             yield part
             at += step
+    give_back()
