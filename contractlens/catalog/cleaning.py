@@ -11,6 +11,8 @@ from contractlens.catalog.inputs import derived
 from contractlens.functions import dates, money, records, text, vendor
 from contractlens.operators import lookup
 from contractlens.operators.lookup import pairs
+from contractlens.session import scratch_path
+from contractlens.sources import writers
 from contractlens.sources.tables import table
 
 MONEY = """
@@ -126,6 +128,19 @@ def renormalize_vendors(spark, sf):
     )
 
 
+def renormalize_contracts(spark, sf):
+    """Changed aliases applied to a stored table: only partitions with a changed name are
+    written again."""
+    rows = normalize_vendor(spark, sf).withColumns(
+        {"source_origin": F.lit(1), "owner_acronym": F.right("gen_vendor_clean", F.lit(1))}
+    )
+    path, old = scratch_path(spark, "renormalized"), F.col("gen_vendor_clean").endswith("7")
+    stored = rows.withColumn("gen_vendor_normalized", F.when(old, "OLD NAME").otherwise(F.col("gen_vendor_normalized")))
+    writers.replace_owner_rows(stored, path, [])
+    writers.renormalize_contracts(spark, path, stored.schema, vendor_aliases(spark, sf))
+    return writers.read_contracts(spark, path, stored.schema).drop("source_origin", "owner_acronym")
+
+
 def vendor_name_variants(spark, sf):
     return lookup.vendor_name_variants(_named(spark, sf), vendor_aliases(spark, sf))
 
@@ -366,6 +381,7 @@ QUERIES = {
     "distinct_urls": distinct_urls,
     "normalize_vendor": normalize_vendor,
     "renormalize_vendors": renormalize_vendors,
+    "renormalize_contracts": renormalize_contracts,
     "normalize_owner": _values(OWNERS, owner_acronym=lambda: lookup.owner_code(F.col("owner"))),
     "label_lookup": _values(LABELS, label=lambda: lookup.label_text(F.col("code"))),
     "vendor_name_variants": vendor_name_variants,
@@ -475,3 +491,8 @@ ORACLES = {
  FROM customer WHERE c_nationkey <> c_custkey % 40""",
     "drop_identity_aliases": """SELECT c_mktsegment AS parent_company, c_name AS company_name, c_custkey AS id FROM customer WHERE c_custkey % 2 <> 0 AND c_name <> c_mktsegment""",
 }
+
+# a name without an alias keeps what is stored
+ORACLES["renormalize_contracts"] = f"""WITH {_SQL_TABLE} SELECT n.*,
+ coalesce(a.parent, CASE WHEN n.gen_vendor_clean LIKE '%7' THEN 'OLD NAME' ELSE n.gen_vendor_clean END) AS gen_vendor_normalized
+ FROM named n LEFT JOIN alias_map a ON a.vendor_clean = n.gen_vendor_clean"""

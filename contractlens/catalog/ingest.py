@@ -38,7 +38,7 @@ def _bulk_file(spark, sf):
     return kept(spark, sf, "bulk file", lambda: _write_bulk_file(spark, sf))
 
 
-def _write_bulk_file(spark, sf):
+def _write_bulk_file(spark, sf, files_written=None):
     """Write the derived bulk rows as CSV files in key order; returns the folder."""
     path = scratch_path(spark, "bulk")
     rows = derived(spark, sf, BULK)
@@ -49,7 +49,7 @@ def _write_bulk_file(spark, sf):
     ]
     # one file per core, in key order: bulk data comes as several files
     cores = spark.sparkContext.defaultParallelism
-    ordered = rows.repartitionByRange(cores, "k").sortWithinPartitions("k")
+    ordered = rows.repartitionByRange(files_written or cores, "k").sortWithinPartitions("k")
     ordered.select(*columns).write.option("header", True).option("escape", '"').csv(path)
     return path
 
@@ -59,6 +59,12 @@ def scan_contract_csv(spark, sf):
     return files.with_row_numbers(raw).drop("file_path")
 
 
+def scan_one_contract_csv(spark, sf):
+    """The bulk rows as one file, cut into ranges."""
+    path = kept(spark, sf, "one bulk file", lambda: _write_bulk_file(spark, sf, 1))
+    return files.with_row_numbers(files.scan_contract_csv(spark, path)).drop("file_path")
+
+
 def csv_contracts(spark, sf):
     rows = ingest.csv_contracts(files.scan_contract_csv(spark, _bulk_file(spark, sf)))
     return ingest.checked(rows).drop("row_created_at", "source_csv_filename")
@@ -236,6 +242,7 @@ def write_all_reports(spark, sf):
 QUERIES = {
     "write_all_reports": write_all_reports,
     "scan_contract_csv": scan_contract_csv,
+    "scan_one_contract_csv": scan_one_contract_csv,
     "import_contract_csv": csv_contracts,
     "reject_incomplete_rows": reject_incomplete_rows,
     "error_rows": error_rows,
@@ -326,6 +333,9 @@ ORACLES = {
 }
 
 
+ORACLES["scan_one_contract_csv"] = ORACLES["scan_contract_csv"]
+
+
 def _contracts_sql(select):
     return after("contracts", select)
 

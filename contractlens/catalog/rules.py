@@ -6,9 +6,10 @@ from contractlens.catalog.inputs import flagged, store
 from contractlens.catalog.sql_text import after
 from contractlens.operators import amendments, duplicates, effective, flags
 from contractlens.operators.exports import exports_v1, exports_v2
-from contractlens.plans.metadata import update_all_metadata
+from contractlens.plans.metadata import change_stored, update_all_metadata
 from contractlens.plans.metadata import update_metadata as run_action
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, scratch_path
+from contractlens.sources import snapshots, writers
 from contractlens.sources.tables import contracts_view
 
 PURCHASE = ["owner_acronym", "contract_value", "gen_vendor_normalized", "raw_contract_date"]
@@ -93,6 +94,17 @@ def update_metadata(spark, sf):
     return _rounded(update_all_metadata(flagged(spark, sf)))
 
 
+def change_stored_metadata(spark, sf):
+    """A stored, flagged table loses some entries and gains others; only what they touch is
+    derived again, only their departments are written."""
+    rows, path = flagged(spark, sf), scratch_path(spark, "changing")
+    strange = rows.filter("id % 97 = 5").withColumn("id", F.col("id") + 10**12)
+    first = update_all_metadata(rows.filter("id % 89 <> 3").unionByName(strange))
+    snapshots.replace(first, path, writers.PARTITIONS, lambda old, new: True)
+    change_stored(spark, path, first.schema, rows.filter("id % 89 = 3"), strange.select("id"))
+    return _rounded(snapshots.read(spark, path, first.schema))
+
+
 def update_metadata_actions(spark, sf):
     """The named steps one after another, each reading the flags the rows carry."""
     rows = flags.reset_generated(flagged(spark, sf))
@@ -171,6 +183,7 @@ QUERIES = {
     "group_min_last": group_min_last,
     "update_all_metadata": update_metadata,
     "update_metadata_actions": update_metadata_actions,
+    "change_stored_metadata": change_stored_metadata,
     "update_metadata_of_owner": update_metadata_of_owner,
     "exports_v1": export_v1,
     "exports_v2": export_v2,
@@ -301,4 +314,4 @@ WHERE NOT b.gen_is_error AND b.id <> a.from_id""",
     ),
 }
 
-ORACLES["update_metadata_actions"] = ORACLES["update_all_metadata"]
+ORACLES["update_metadata_actions"] = ORACLES["change_stored_metadata"] = ORACLES["update_all_metadata"]

@@ -41,7 +41,7 @@ def counted(monkeypatch):
 
 
 def test_staircases_take_a_bounded_number_of_rounds(spark, monkeypatch):
-    rows, rounds = staircases(150, 40), counted(monkeypatch)
+    rows, rounds = staircases(60, 30), counted(monkeypatch)
     df = spark.createDataFrame(rows, COLUMNS).repartition(8)
     out = duplicates.find_duplicates(df, 20, 0).filter("gen_is_duplicate")
     got = {r.id: (r.gen_duplicate_via, r.gen_duplicate_source_id) for r in out.collect()}
@@ -77,7 +77,7 @@ def contracted(spark, parents, known):
     return {r.node: r.value for r in values.collect()}, rounds
 
 
-@pytest.mark.parametrize("reach", [1, 3, 40])
+@pytest.mark.parametrize("reach", [2, 40])
 def test_forests_are_contracted(spark, reach):
     rng = random.Random(reach)
     parents = {i: rng.randint(i + 1, min(i + reach, 300)) for i in range(300) if rng.random() < 0.95}
@@ -89,7 +89,7 @@ def test_forests_are_contracted(spark, reach):
 
 
 def test_a_chain_takes_a_logarithm_of_rounds(spark):
-    for size in (64, 2000):
+    for size in (30, 500):
         parents = {i: i + 1 for i in range(size)}
         got, rounds = contracted(spark, parents, {0: True})
         assert got == plain_values(parents, {0: True})
@@ -112,9 +112,6 @@ def test_chains_of_amendments(spark):
 FIELDS = st.text(st.sampled_from('ab", \n\r'), max_size=12)
 
 
-def parsed(text):
-    return [row for row in csv.reader(io.StringIO(text, newline="")) if row]
-
 
 @settings(deadline=None)
 @given(st.lists(st.lists(FIELDS, min_size=2, max_size=4), max_size=6))
@@ -130,7 +127,7 @@ def test_states_of_lines(rows):
 
 @pytest.fixture
 def tiny_ranges(spark):
-    keys = {"spark.sql.files.maxPartitionBytes": "48", "spark.sql.files.openCostInBytes": "0"}
+    keys = {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "0"}
     before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -149,8 +146,8 @@ def test_one_file_is_read_by_many_tasks(spark, tiny_ranges, tmp_path):
     word = lambda: "".join(rng.choice('ab",\né ') for _ in range(rng.randrange(9)))
     wanted = {"a.csv": [], "b.csv": [], "c.csv": []}
     for name in ("a.csv", "b.csv"):
-        for i in range(150):
-            text = word() if i % 40 else "x\n" * 90  # some records cross many ranges
+        for i in range(100):
+            text = word() if i % 40 else "x\n" * 700  # some records cross many ranges
             wanted[name].append([f"{name}{i}", *[word() for _ in range(40)], text, "end"])
         head = [f"h{i}" for i in range(43)]
         written(tmp_path, name, [head, *wanted[name]], "\r\n" if name == "b.csv" else "\n")
@@ -165,13 +162,13 @@ def test_one_file_is_read_by_many_tasks(spark, tiny_ranges, tmp_path):
     assert sorted(got) == list(range(2, len(want) + 2))
     assert [got[i] for i in sorted(got)] == want
     ranges = found.groupBy("file_path", "block_start").count().filter("file_path like '%a.csv'").count()
-    assert ranges > 50
+    assert ranges > 30
 
 
 def test_a_file_without_an_end(spark, tiny_ranges, tmp_path):
-    (tmp_path / "a.csv").write_text('h1,h2\n1,"open\n' + "more\n" * 30)
+    (tmp_path / "a.csv").write_text('h1,h2\n1,"open\n' + "more\n" * 300)
     rows = split_csv.csv_records(spark, str(tmp_path)).orderBy("block_start", "place").collect()
-    assert [r.record for r in rows] == ["h1,h2", '1,"open\n' + "more\n" * 29 + "more"]
+    assert [r.record for r in rows] == ["h1,h2", '1,"open\n' + "more\n" * 299 + "more"]
 
 
 # versions
@@ -320,7 +317,7 @@ def contract_rows(spark, seed, ids):
     )
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_changes_give_what_a_full_run_gives(spark, seed):
     rng = random.Random(seed)
     base, added = contract_rows(spark, seed, range(400)), contract_rows(spark, seed + 10, range(400, 400 + 12 * (seed % 2)))
