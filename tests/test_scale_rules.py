@@ -50,14 +50,14 @@ def test_staircases_take_a_bounded_number_of_rounds(spark, monkeypatch):
 
 
 def test_components_beyond_the_bound_go_on_with_rounds(spark, monkeypatch):
-    rows, rounds = [*staircases(2, 60), *staircases(9, 8)], counted(monkeypatch)
-    rows = [(i, *row[1:6], f"{row[6]}{i >= 120}", f"{row[7]}{i >= 120}", *row[8:]) for i, row in enumerate(rows)]
-    monkeypatch.setattr(duplicates, "accepted_rows", partial(claims.accepted_rows, component_rows=30, rounds=2))
+    rows, rounds = [*staircases(2, 24), *staircases(9, 6)], counted(monkeypatch)
+    rows = [(i, *row[1:6], f"{row[6]}{i >= 48}", f"{row[7]}{i >= 48}", *row[8:]) for i, row in enumerate(rows)]
+    monkeypatch.setattr(duplicates, "accepted_rows", partial(claims.accepted_rows, component_rows=15, rounds=2))
     df = spark.createDataFrame(rows, COLUMNS).repartition(8)
     out = duplicates.find_duplicates(df, 20, 0).filter("gen_is_duplicate")
     got = {r.id: (r.gen_duplicate_via, r.gen_duplicate_source_id) for r in out.collect()}
     assert got == brute.duplicates(as_dicts(rows))
-    assert 2 < len(rounds) <= 30
+    assert 2 < len(rounds) <= 12
 
 
 def plain_values(parents, known):
@@ -112,7 +112,6 @@ def test_chains_of_amendments(spark):
 FIELDS = st.text(st.sampled_from('ab", \n\r'), max_size=12)
 
 
-
 @settings(deadline=None)
 @given(st.lists(st.lists(FIELDS, min_size=2, max_size=4), max_size=6))
 def test_states_of_lines(rows):
