@@ -19,11 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from contractlens.llm.common import id_and_text, slices
-from contractlens.llm.library_ids import text_encoder
+from contractlens.llm.library_ids import WORDS, text_encoder
 
 TIERS = (2048, 1024, 512, 256)
-#: Words that a worker keeps in mind, in each of two generations.
-WORDS = 250_000
 #: Remainders that are packed together; what a task holds in memory.
 POOL = 4096
 #: Ids in a step group: that many windows of any one size.
@@ -124,13 +122,13 @@ def step_groups(windows: list[tuple[int, list]], step_ids: int) -> list[int]:
 
 def pack_documents(
     docs: DataFrame, vocabulary: str, end_id: int, tiers: tuple[int, ...] = TIERS, pool: int = POOL,
-    step_ids: int = STEP_IDS, id_col: str = "doc_id", text_col: str = "text",
+    step_ids: int = STEP_IDS, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset,
     context (the size of its sequence), step_group and ids (little-endian unsigned
     32-bit integers).
 
-    Every id lies in one piece. Every sequence has a power of two of ids, so nothing is
+    `words` bounds what a worker keeps in mind. Every id lies in one piece. Every sequence has a power of two of ids, so nothing is
     padded; sequences shorter than the shortest tier only close a task.
 
     Defined cases: a null text counts as empty, and such documents have their end id
@@ -148,7 +146,7 @@ def pack_documents(
         raise ValueError("tiers are powers of two, the longest first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(vocabulary, content.value, WORDS)
+        encode = text_encoder(vocabulary, content.value, words)
         base = TaskContext.get().partitionId() << 40
         end, sequence, group, kind = np.array([end_id], "<u4"), 0, 0, pa.int64()
         held: dict[int, tuple] = {}  # documents by number: id, ids
