@@ -17,6 +17,10 @@ from contractlens.llm.packing import pack_documents
 from contractlens.llm.toxicity import drop_toxic
 from contractlens.session import cut_lineage
 
+#: Words that a worker keeps in mind while it packs: fewer than packing alone would, as
+#: executors are full when the last stage starts.
+PACKING_WORDS = 250_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the marks, does not reject.
@@ -52,7 +56,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is the end id alone; a long text is cut into pieces; repeated rows
     are packed each; further columns are left out; an empty table gives no pieces.
     """
-    pieces = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = pack_documents(docs, path, end_id=1, words=PACKING_WORDS)
     return pieces.select(
         "doc_id",
         "start",
