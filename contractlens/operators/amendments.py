@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from contractlens.operators.claims import TAIL_ROWS, accepted_rows, at_most
 from contractlens.operators.contraction import forest_values
 from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, shuffled
 
 GROUP = ["owner_acronym", "gen_vendor_normalized"]
 ADDED = ["gen_is_amendment", "gen_amendment_via", "gen_amendment_group_id"]
@@ -110,17 +110,17 @@ def _gathering(neighbours: DataFrame, tail_rows: int) -> DataFrame:
     surely = neighbours.filter(~F.col("acts")).select(F.col("neighbour").alias("n")).distinct()
     acting = cut_lineage(
         neighbours.filter("acts")
-        .join(surely, F.col("ord") == F.col("n"), "left")
+        .join(shuffled(surely), F.col("ord") == F.col("n"), "left")
         .select("grp", "ord", "neighbour", F.col("n").isNotNull().alias("sure"))
     )
     done = acting.filter("sure").select(F.col("ord").alias("d"))
     # only entries that wait, and the acting entries that fall to them, are looked at
     unsure = acting.filter(~F.col("sure")).select(F.col("ord").alias("u"))
-    parents = acting.join(unsure, F.col("neighbour") == F.col("u")).select(F.col("u")).distinct()
+    parents = acting.join(shuffled(unsure), F.col("neighbour") == F.col("u")).select(F.col("u")).distinct()
     judged = cut_lineage(
-        acting.join(parents, F.col("ord") == F.col("u"), "left")
+        acting.join(shuffled(parents), F.col("ord") == F.col("u"), "left")
         .withColumnRenamed("u", "as_parent")
-        .join(parents, F.col("neighbour") == F.col("u"), "left")
+        .join(shuffled(parents), F.col("neighbour") == F.col("u"), "left")
         .filter(F.col("as_parent").isNotNull() | F.col("u").isNotNull())
         .select(
             "grp", "ord", "sure", F.col("u").alias("parent"),
@@ -169,20 +169,20 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
     first_offer = acting.groupBy(F.col("write_2").alias("key_2")).agg(F.min("ord").alias("act_2"))
     # An acting entry can offer the very value it wants; it then needs the second offer.
     second_offer = (
-        acting.join(first_offer, F.col("write_2").eqNullSafe(F.col("key_2")))
+        acting.join(shuffled(first_offer), F.col("write_2").eqNullSafe(F.col("key_2")))
         .filter(F.col("ord") > F.col("act_2"))
         .groupBy("key_2")
         .agg(F.min("ord").alias("act_3"))
         .withColumnRenamed("key_2", "key_3")
     )
     offers = first_offer.join(
-        second_offer, F.col("key_2").eqNullSafe(F.col("key_3")), "left"
+        shuffled(second_offer), F.col("key_2").eqNullSafe(F.col("key_3")), "left"
     ).drop("key_3")
 
     neighbours = (
         keyed.select("ord", "read_1", "read_2")
-        .join(by_reference, F.col("read_1").eqNullSafe(F.col("key_1")), "left")
-        .join(offers, F.col("read_2").eqNullSafe(F.col("key_2")), "left")
+        .join(shuffled(by_reference), F.col("read_1").eqNullSafe(F.col("key_1")), "left")
+        .join(shuffled(offers), F.col("read_2").eqNullSafe(F.col("key_2")), "left")
         .select(
             "ord",
             F.to_json(F.struct(*[F.col(f"read_1.{c}") for c in GROUP])).alias("grp"),
@@ -197,14 +197,14 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
 
     gathering = _gathering(neighbours, tail_rows)
     outcome = (
-        neighbours.join(gathering, F.col("ord") == F.col("d"), "left").select(
+        neighbours.join(shuffled(gathering), F.col("ord") == F.col("d"), "left").select(
             F.col("ord.id").alias("_id"),
             F.when(F.col("d").isNotNull(), F.col("ord.id"))
             .otherwise(F.col("neighbour.id"))
             .alias("_group_id"),
         )
     )
-    return rows.join(outcome, F.col("id") == F.col("_id")).select(
+    return rows.join(shuffled(outcome), F.col("id") == F.col("_id")).select(
         *rows.columns, *_flags(F.col("_group_id"))
     )
 
@@ -234,7 +234,7 @@ def linked_pairs(rows: DataFrame) -> DataFrame:
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     by_reference = (
-        rows.join(first, same)
+        rows.join(shuffled(first), same)
         .filter(F.col("id") != F.col("from_id"))
         .select("from_id", F.col("id").alias("to_id"))
     )
@@ -247,7 +247,7 @@ def linked_pairs(rows: DataFrame) -> DataFrame:
     by_value = (
         rows.filter(F.col("original_value").isNotNull())
         .join(
-            offer,
+            shuffled(offer),
             F.col("owner_acronym").eqNullSafe(F.col("_o"))
             & F.col("gen_vendor_normalized").eqNullSafe(F.col("_v"))
             & (F.col("original_value") == F.col("_value"))

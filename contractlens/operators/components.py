@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, shuffled
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -25,7 +25,7 @@ def _with_least(pairs: DataFrame) -> DataFrame:
     split the rows of a node with very many neighbours.
     """
     least = cut_lineage(pairs.groupBy("a").agg(F.min("b").alias("least")))
-    return pairs.join(least, "a").select("a", "b", F.least("a", "least").alias("least"))
+    return pairs.join(shuffled(least), "a").select("a", "b", F.least("a", "least").alias("least"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

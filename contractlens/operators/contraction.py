@@ -20,13 +20,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractlens.session import cut_lineage
+from contractlens.session import cut_lineage, shuffled
 
 
 def _raked(links: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links whose child is not among the freshly settled nodes, and the parents' state:
     takes (a link said true), open links, and the open one if it is the only one."""
-    says = links.join(fresh, F.col("child") == F.col("node"), "left").select(
+    says = links.join(shuffled(fresh), F.col("child") == F.col("node"), "left").select(
         "parent", "child", "flip", (F.col("flip") != F.col("value")).alias("says")
     )
     says = cut_lineage(says)
@@ -44,11 +44,11 @@ def _raked(links: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _compressed(links: DataFrame, state: DataFrame) -> DataFrame:
     """The open links of open parents; links to a node with one link go past it."""
     live = state.filter("NOT takes AND open > 0")
-    links = links.join(live.select(F.col("parent").alias("live")), F.col("parent") == F.col("live"), "left_semi")
+    links = links.join(shuffled(live.select(F.col("parent").alias("live"))), F.col("parent") == F.col("live"), "left_semi")
     single = live.filter("open = 1").select(
         F.col("parent").alias("past"), F.col("only.child").alias("beyond"), F.col("only.flip").alias("turn")
     )
-    return links.join(single, F.col("child") == F.col("past"), "left").select(
+    return links.join(shuffled(single), F.col("child") == F.col("past"), "left").select(
         "parent",
         F.coalesce("beyond", "child").alias("child"),
         F.when(F.col("past").isNull(), F.col("flip")).otherwise(F.col("flip") != F.col("turn")).alias("flip"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.functions.dates import repaired_end
+from contractlens.session import shuffled
 
 ADDED = [
     "gen_effective_start_year",
@@ -102,7 +103,7 @@ def year_owners(rows: DataFrame) -> DataFrame:
     bounds = group_bounds(rows)
     common = ["grp", "span_start", "span_end", "last_id", "group_original", "runs"]
     later = (
-        spans.join(bounds, F.col("g") == F.col("grp"))
+        spans.join(shuffled(bounds), F.col("g") == F.col("grp"))
         .filter(F.col("m.entry.id") != F.col("first_entry.id"))
         .select(
             *common,
@@ -201,8 +202,8 @@ def effective_values(rows: DataFrame) -> DataFrame:
     values = amendment_values(grouped).withColumnRenamed("id", "_id")
     # groups without a single entry that has both years; nearly always none
     idle = group_bounds(grouped).filter(~F.col("runs")).select("grp")
-    joined = grouped.join(values, F.col("id") == F.col("_id"), "left").join(
-        idle, F.col("gen_amendment_group_id") == F.col("grp"), "left"
+    joined = grouped.join(shuffled(values), F.col("id") == F.col("_id"), "left").join(
+        shuffled(idle), F.col("gen_amendment_group_id") == F.col("grp"), "left"
     )
     # an entry overridden in all its years counts as zero and has no years
     overridden = F.col("grp").isNull() & F.col("_id").isNull()

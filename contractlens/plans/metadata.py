@@ -12,7 +12,7 @@ from contractlens.operators.effective import effective_values
 from contractlens.operators.flags import reset_generated
 from contractlens.operators.grouping import all_equal
 from contractlens.schema import GENERATED
-from contractlens.session import cut_lineage, small_side
+from contractlens.session import cut_lineage, shuffled, small_side
 from contractlens.sources import snapshots, writers
 
 # What the rules read; descriptions and other wide text stay out of the shuffles.
@@ -57,7 +57,7 @@ def update_all_metadata(rows: DataFrame) -> DataFrame:
         # narrow already: carrying the few extra columns beats a join
         return _derive(base).select(*kept, *GENERATED.names)
     flags = metadata_flags(base)
-    return base.join(flags, "id").select(*kept, *GENERATED.names)
+    return base.join(shuffled(flags), "id").select(*kept, *GENERATED.names)
 
 
 DUPLICATE = ["gen_is_duplicate", "gen_duplicate_via", "gen_duplicate_source_id"]
@@ -96,10 +96,10 @@ def changed_metadata(stored: DataFrame, added: DataFrame, removed: DataFrame) ->
     same = F.lit(True)
     for name in DUPLICATE:
         same = same & F.col(name).eqNullSafe(F.col(f"was_{name}"))
-    flipped = marked.join(held, F.col("id") == F.col("of")).filter(~same).select(*amendments.GROUP)
+    flipped = marked.join(shuffled(held), F.col("id") == F.col("of")).filter(~same).select(*amendments.GROUP)
 
     touched = flipped.unionByName(changed.select(*amendments.GROUP))
-    others = rows.join(marked.select(F.col("id").alias("of")), F.col("id") == F.col("of"), "left_anti")
+    others = rows.join(shuffled(marked.select(F.col("id").alias("of"))), F.col("id") == F.col("of"), "left_anti")
     current = marked.select(*keys).unionByName(others.select(*keys))
     linked = cut_lineage(find_amendments(_in_groups(current, touched, amendments.GROUP)))
     return effective_values(linked).select("id", *GENERATED.names)
@@ -124,7 +124,7 @@ def merged(stored: DataFrame, added: DataFrame, removed: DataFrame, fresh: DataF
     every = rows.unionByName(late.select(*rows.columns))
     new = fresh.select(F.col("id").alias("of"), F.struct(*GENERATED.names).alias("new"))
     has = F.col("of").isNotNull()
-    return every.join(new, F.col("id") == F.col("of"), "left").select(
+    return every.join(shuffled(new), F.col("id") == F.col("of"), "left").select(
         *[
             F.when(has, F.col(f"new.{name}")).otherwise(F.col(name)).alias(name) if name in GENERATED.names else F.col(name)
             for name in stored.columns
@@ -148,7 +148,7 @@ def change_stored(spark: SparkSession, path: str, schema, added: DataFrame, remo
     same = F.lit(True)
     for name in GENERATED.names:
         same = same & F.col(name).eqNullSafe(F.col(f"new_{name}"))
-    turned = stored.join(new, F.col("id") == F.col("of")).filter(~same).select(*place)
+    turned = stored.join(shuffled(new), F.col("id") == F.col("of")).filter(~same).select(*place)
     touched = cut_lineage(lost.unionByName(turned).unionByName(added.select(*place)).distinct())
 
     def change(rows: DataFrame) -> DataFrame:

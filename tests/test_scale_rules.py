@@ -402,3 +402,29 @@ def test_positions_need_no_single_task(spark):
     place = {at: i for i, at in enumerate(sorted(set(first.values())))}
     assert {x.label: x.position for x in out.collect()} == {label: place[at] for label, at in first.items()}
     assert series.label_positions(df.limit(0), "label").count() == 0
+
+
+def test_sides_that_grow_are_not_gathered_at_the_driver(spark, tmp_path):
+    """Small files make Spark broadcast a side; the grouped values and amendment links grow
+    with the entries, so they must meet the rows by shuffle."""
+    from contractlens.operators import amendments, effective
+
+    columns = (
+        "id long, owner_acronym string, gen_vendor_normalized string, source_fiscal string, source_year int, "
+        "contract_value double, original_value double, reference_number string, gen_start_year int, "
+        "gen_end_year int, gen_is_error boolean, gen_is_duplicate boolean"
+    )
+    rows = [
+        (i, "o", "v", f"20{i % 20:02d}", 2000 + i % 20, float(i), None, f"R{i % 7}", 2000 + i % 20, 2020, False, False)
+        for i in range(60)
+    ]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, columns).write.parquet(path)
+    linked = amendments.find_amendments(spark.read.parquet(path), fold_limit=8, tail_rows=1)
+    linked.write.parquet(path + "-linked")
+    valued = effective.effective_values(spark.read.parquet(path + "-linked"))
+    for step in (linked, valued):
+        joins = step._jdf.queryExecution().optimizedPlan().toString()
+        physical = step._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" in joins and "SortMergeJoin" in physical
+    assert "BroadcastHashJoin" not in valued._jdf.queryExecution().sparkPlan().toString()
