@@ -89,3 +89,19 @@ print("rows", find_duplicates(rows, fold_limit=3).count())
         [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300
     )
     assert "rows 1500" in done.stdout, done.stderr[-2000:]
+
+
+def test_one_bulk_file_is_in_key_order(spark, tmp_path):
+    """The file is put together from many sorted ranges."""
+    from pathlib import Path
+
+    from contractlens.catalog import ingest as bulk
+
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet").count()
+    path = bulk._write_bulk_file(spark, folder, 1, sorted_rows=max(1, orders // 20))
+    found = list(Path(path.removeprefix("file:")).glob("*.csv"))
+    assert len(found) == 1
+    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(found[0]))
+    keys = [int(r.c0.rsplit("-", 1)[1]) for r in rows.collect()]
+    assert len(keys) == orders and keys == sorted(keys)
