@@ -287,6 +287,22 @@ def plain_text(html: Column) -> Column:
     return out
 
 
+# text that takes more than trimming to become a value: markup, entities, line ends, ...
+AWKWARD = r"[<&\n\r\t]|  |[^\x00-\x7F]"
+
+
+def cell_label(html: Column) -> Column:
+    """A label cell as letters and digits; markup is looked for only where there may be some."""
+    marked = F.contains(html, F.lit("<")) | F.contains(html, F.lit("&"))
+    return F.when(marked, text.clean_label(plain_text(html))).otherwise(text.clean_label(html))
+
+
+def cell_value(html: Column) -> Column:
+    """A value cell as text on one line; what needs no cleaning is only trimmed."""
+    whole = text.remove_linebreaks(text.clean_html_value(plain_text(html)))
+    return F.when(F.rlike(html, F.lit(AWKWARD)), whole).otherwise(text.trim_blank(html))
+
+
 # paths whose cells cannot hold a cell of the same kind, so a pattern finds them exactly
 PLAIN_PATH = re.compile(r"//(?:table//)?(th|td|h2|p)(?:\[@([a-z]+)='([^']*)'\])?")
 
@@ -342,8 +358,8 @@ def extract_label_values(pages: DataFrame) -> DataFrame:
     pairs = F.transform(
         F.arrays_zip(F.col("keys").alias("key"), F.col("cells").alias("cell")),
         lambda p: F.struct(
-            F.try_element_at("_table", text.clean_label(plain_text(p["key"]))).alias("field"),
-            text.remove_linebreaks(text.clean_html_value(plain_text(p["cell"]))).alias("value"),
+            F.try_element_at("_table", cell_label(p["key"])).alias("field"),
+            cell_value(p["cell"]).alias("value"),
         ),
     )
     kept = [c for c in pages.columns if c != "html"]

@@ -1,11 +1,13 @@
 """Column functions on given values."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from contractlens.functions import dates, money, records, text, vendor
+from contractlens.functions import dates, html_select, money, records, text, vendor
 from contractlens.functions.html_select import select
-from contractlens.operators import lookup
+from contractlens.operators import lookup, pages
 
 
 def one(spark, value, make, kind="string"):
@@ -128,3 +130,38 @@ def test_select_paths():
     assert select(page, "//div[@id='n']") == ["a<div>b</div>c"]
     assert select(page, "//ul[not(@class)]/li") == ["x", "y"]
     assert select(page, "//h1") == []
+
+
+PIECES = [
+    "<p>", "</p>", "<td class='a'>", "<td>", "</td>", "<tr>", "</tr>", '<table id="x y">', "</table>", "<br>", "<li>", "</li>",
+    "text", "a > b", "\n", "<div\n class='b' id='c'>", "</div >", "<div class='a' class='b'>", "</br>", "é", "&lt;",
+    "<br/>", "<!-- <p> -->", "<B>", "<p class=x>", "< p", "<script>", "</script>", "<div class='a&amp;b'>", "<p x='1'y='2'>", "<",
+]
+
+
+def tree(node):
+    return node.tag, node.attrs, node.start, node.end, [tree(child) for child in node.children]
+
+
+def test_plain_pages_give_the_same_tree_by_pattern():
+    rng, plain = random.Random(5), 0
+    for _ in range(4000):
+        page = "".join(rng.choice(PIECES[: rng.choice([21, len(PIECES)])]) for _ in range(rng.randrange(12)))
+        root = html_select._plain_root(page)
+        plain += root is not None
+        assert root is None or tree(root) == tree(html_select._Tree(page).root), page
+    assert plain > 1000
+
+
+@pytest.mark.parametrize(
+    "cell", ["", "a", " a\t", "a  b", "a\nb", "<b>a</b>", "a &amp; b", "&lt;b&gt;", "a b", "é Â", "\u000ba\u0000", None]
+)
+def test_cells_are_cleaned_alike_whether_awkward_or_not(spark, cell):
+    html = F.col("html")
+    whole = text.remove_linebreaks(text.clean_html_value(pages.plain_text(html)))
+    rows = spark.createDataFrame([(cell,)], "html string").select(
+        whole.alias("value"), pages.cell_value(html).alias("fast_value"),
+        text.clean_label(pages.plain_text(html)).alias("label"), pages.cell_label(html).alias("fast_label"),
+    )
+    row = rows.first()
+    assert row.value == row.fast_value and row.label == row.fast_label
