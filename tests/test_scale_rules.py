@@ -428,3 +428,15 @@ def test_sides_that_grow_are_not_gathered_at_the_driver(spark, tmp_path):
         physical = step._jdf.queryExecution().sparkPlan().toString()
         assert "Join" in joins and "SortMergeJoin" in physical
     assert "BroadcastHashJoin" not in valued._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_rows_are_numbered_without_reading_the_files_again(spark, tiny_ranges, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("\n\nh1,h2\n" + "".join(f'{i},"x\n\n""{i}"\n\r\n' for i in range(60)))
+    (tmp_path / "b.csv").write_text("h1,h2\n" + "".join(f"{i},y\n" for i in range(60, 200)))
+    found = files.scan_contract_csv(spark, str(tmp_path))
+    cuts, plain = [], split_csv._cut
+    monkeypatch.setattr(split_csv, "_cut", lambda *given: cuts.append(1) or plain(*given))
+    monkeypatch.setattr(files, "small_side", None)
+    rows = files.with_row_numbers(found).select("row_number", "csvReferenceNumber").collect()
+    assert not cuts
+    assert sorted((n, int(k)) for n, k in rows) == [(i + 2, i) for i in range(200)]
