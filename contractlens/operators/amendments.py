@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from contractlens.operators.claims import TAIL_ROWS, accepted_rows, at_most
 from contractlens.operators.contraction import forest_values
-from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
+from contractlens.operators.grouping import FOLD_LIMIT, same_key, split_by_group_size, together
 from contractlens.session import cut_lineage, shuffled
 
 GROUP = ["owner_acronym", "gen_vendor_normalized"]
@@ -166,23 +166,24 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
     acting = accepted_rows(keyed, GROUP, tail_rows).select("ord", "write_1", "write_2")
 
     by_reference = acting.select(F.col("write_1").alias("key_1"), F.col("ord").alias("act_1"))
-    first_offer = acting.groupBy(F.col("write_2").alias("key_2")).agg(F.min("ord").alias("act_2"))
+    hashed = F.xxhash64("write_2").alias("_hash")
+    first_offer = acting.groupBy(hashed, F.col("write_2").alias("key_2")).agg(F.min("ord").alias("act_2")).drop("_hash")
     # An acting entry can offer the very value it wants; it then needs the second offer.
     second_offer = (
-        acting.join(shuffled(first_offer), F.col("write_2").eqNullSafe(F.col("key_2")))
+        acting.join(shuffled(first_offer), same_key(F.col("write_2"), F.col("key_2")))
         .filter(F.col("ord") > F.col("act_2"))
-        .groupBy("key_2")
+        .groupBy(F.xxhash64("key_2").alias("_hash"), "key_2")
         .agg(F.min("ord").alias("act_3"))
-        .withColumnRenamed("key_2", "key_3")
+        .select(F.col("key_2").alias("key_3"), "act_3")
     )
     offers = first_offer.join(
-        shuffled(second_offer), F.col("key_2").eqNullSafe(F.col("key_3")), "left"
+        shuffled(second_offer), same_key(F.col("key_2"), F.col("key_3")), "left"
     ).drop("key_3")
 
     neighbours = (
         keyed.select("ord", "read_1", "read_2")
-        .join(shuffled(by_reference), F.col("read_1").eqNullSafe(F.col("key_1")), "left")
-        .join(shuffled(offers), F.col("read_2").eqNullSafe(F.col("key_2")), "left")
+        .join(shuffled(by_reference), same_key(F.col("read_1"), F.col("key_1")), "left")
+        .join(shuffled(offers), same_key(F.col("read_2"), F.col("key_2")), "left")
         .select(
             "ord",
             F.to_json(F.struct(*[F.col(f"read_1.{c}") for c in GROUP])).alias("grp"),

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.operators.components import connected_components
+from contractlens.operators.grouping import same_key
 from contractlens.session import cut_lineage, small_side
 
 # Rows that one job may walk in order; a bound on the whole rest, not on each group.
@@ -44,14 +45,14 @@ def at_most(rows: DataFrame, bound: int) -> bool:
 
 
 def _first(rows: DataFrame, key: str, name: str) -> DataFrame:
-    return rows.groupBy(F.col(key).alias(f"{name}_key")).agg(F.min("ord").alias(name))
+    # the least struct is found by sorting; with the hash first, numbers are sorted
+    keys = [F.xxhash64(key).alias("_hash"), F.col(key).alias(f"{name}_key")]
+    return rows.groupBy(*keys).agg(F.min("ord").alias(name)).drop("_hash")
 
 
 def _with_first(rows: DataFrame, firsts: DataFrame, key: str, name: str) -> DataFrame:
     """Add the first `ord` found under the row's key; missing where there is none."""
-    return rows.join(firsts, F.col(key).eqNullSafe(F.col(f"{name}_key")), "left").drop(
-        f"{name}_key"
-    )
+    return rows.join(firsts, same_key(F.col(key), F.col(f"{name}_key")), "left").drop(f"{name}_key")
 
 
 def _walk(group: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +147,7 @@ def accepted_rows(
     rest = [c for c in candidates.columns if c not in ("ord", "read_1", "read_2")]
     order = candidates.schema["ord"].dataType.fieldNames()
     open_rows = cut_lineage(
-        candidates.groupBy("read_1", "read_2")
+        candidates.groupBy(F.xxhash64("read_1", "read_2").alias("_hash"), "read_1", "read_2")
         .agg(F.min(F.struct("ord", *rest)).alias("row"))
         .select("read_1", "read_2", "row.*")
     )

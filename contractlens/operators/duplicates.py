@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractlens.operators.claims import TAIL_ROWS, accepted_rows
-from contractlens.operators.grouping import FOLD_LIMIT, split_by_group_size, together
+from contractlens.operators.grouping import FOLD_LIMIT, same_key, split_by_group_size, together
 
 GROUP = ["owner_acronym", "contract_value"]
 
@@ -146,8 +146,8 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
         rows.withColumn("_p", purchase)
         .withColumn("_r", reference)
         .withColumn("_o", order)
-        .join(by_purchase, F.col("_p").eqNullSafe(F.col("key_1")), "left")
-        .join(by_reference, F.col("_r").eqNullSafe(F.col("key_2")), "left")
+        .join(by_purchase, same_key(F.col("_p"), F.col("key_1")), "left")
+        .join(by_reference, same_key(F.col("_r"), F.col("key_2")), "left")
     )
     one, two = F.col("kept_1"), F.col("kept_2")
     by_one = one.isNotNull() & (two.isNull() | (one["ord"] <= two["ord"]))

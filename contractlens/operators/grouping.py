@@ -21,6 +21,15 @@ def all_equal(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
+def same_key(left: Column, right: Column) -> Column:
+    """Null-safe equality of two key structs of the same types.
+
+    Their hashes come first: a join then sorts by a number, and compares structs only where
+    the numbers are equal.
+    """
+    return (F.xxhash64(left) == F.xxhash64(right)) & left.eqNullSafe(right)
+
+
 def split_by_group_size(
     rows: DataFrame, keys: list[str], limit: int
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -28,7 +37,7 @@ def split_by_group_size(
 
     The sizes come from a count with map-side combine over the key columns alone.
     """
-    large = (
+    large = cut_lineage(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("group_rows"))
         .filter(F.col("group_rows") > limit)
@@ -36,7 +45,7 @@ def split_by_group_size(
     )
     if large.isEmpty():
         return rows, None
-    side = small_side(cut_lineage(large))
+    side = small_side(large)
     match = all_equal("r", "g", keys)
     small = rows.alias("r").join(side.alias("g"), match, "left_anti")
     big = rows.alias("r").join(side.alias("g"), match, "left_semi")

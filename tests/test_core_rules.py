@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from contractlens.operators import amendments, duplicates, effective
+from contractlens.operators import amendments, duplicates, effective, grouping
 
 COLUMNS = (
     "id bigint, owner_acronym string, source_fiscal string, contract_value double, "
@@ -188,3 +188,14 @@ def test_results_do_not_depend_on_partitions(spark):
     one = duplicates.find_duplicates(df.coalesce(1)).orderBy("id").collect()
     many = duplicates.find_duplicates(df.repartition(13, F.rand(3))).orderBy("id").collect()
     assert one == many
+
+
+def test_key_structs_meet_by_hash_and_value(spark):
+    keys = [("a", 0.0, None), ("a", -0.0, None), ("a", 0.0, "x"), (None, None, None), ("b", float("nan"), "x")]
+    left = spark.createDataFrame(keys, "o string, v double, r string").select(F.struct("o", "v", "r").alias("left"))
+    right = left.withColumnRenamed("left", "right")
+    plain = left.join(right, F.col("left").eqNullSafe(F.col("right")))
+    hashed = left.join(right.hint("merge"), grouping.same_key(F.col("left"), F.col("right")))
+    assert sorted(map(str, hashed.collect())) == sorted(map(str, plain.collect()))
+    assert hashed.count() == 7
+    assert "xxhash64" in hashed._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1].split("]")[0]
