@@ -3,7 +3,7 @@
 A reader that starts in the middle of a file can't know whether it is inside quotes. But
 what a range of lines does to that state can be told without knowing it: for each of the
 two states at its start there is one state at its end. Every range is summarised like
-that, the summaries, two letters a range, are composed in the order of the file, and
+that, the summaries, two states and two counts a range, are composed in the order of the file, and
 then each range knows its start and cuts its own records. A record that crosses into
 the next ranges is put together from the pieces that they report, at most two a range.
 
