@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import brute
-from contractlens.catalog import inputs
+from contractlens.catalog import ingest, inputs
 from contractlens.operators import amendments, claims, contraction, duplicates, series
 from contractlens.operators import reports as r
 from contractlens.plans import metadata, report_suite
@@ -440,3 +440,20 @@ def test_rows_are_numbered_without_reading_the_files_again(spark, tiny_ranges, t
     rows = files.with_row_numbers(found).select("row_number", "csvReferenceNumber").collect()
     assert not cuts
     assert sorted((n, int(k)) for n, k in rows) == [(i + 2, i) for i in range(200)]
+
+
+def test_tasks_that_write_record_files_sort_a_bounded_share(spark, tmp_path):
+    """More records give more writing tasks, not longer sorts."""
+    folder = "/root/testdata/sf0.01"
+    for name in ("orders", "customer", "nation"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(4).write.parquet(f"{tmp_path}/{name}.parquet")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100k")
+    try:
+        path = ingest._write_record_files(spark, str(tmp_path))
+    finally:
+        spark.conf.unset(size)
+    task = F.regexp_extract(F.input_file_name(), r"/part-(\d+)-", 1)
+    written = spark.read.text(path, recursiveFileLookup=True).groupBy(task).count().collect()
+    assert sum(r["count"] for r in written) == 15_000
+    assert max(r["count"] for r in written) < 3_000
