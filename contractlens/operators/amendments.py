@@ -214,13 +214,29 @@ def find_amendments(
     rows: DataFrame, fold_limit: int = FOLD_LIMIT, tail_rows: int = TAIL_ROWS
 ) -> DataFrame:
     """Add gen_is_amendment, gen_amendment_via and gen_amendment_group_id."""
-    work = rows.filter(eligible(rows))
-    skipped = rows.filter(~F.coalesce(eligible(rows), F.lit(False)))
+    work, skipped = taking_part(rows)
+    return amendment_groups(work, fold_limit, tail_rows).unionByName(ungrouped(skipped))
+
+
+def taking_part(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be in amendment groups, all others)."""
+    return rows.filter(eligible(rows)), rows.filter(~F.coalesce(eligible(rows), F.lit(False)))
+
+
+def ungrouped(rows: DataFrame) -> DataFrame:
+    """The flags of rows that are in no group."""
+    return rows.select("*", *_flags(F.lit(None).cast("bigint")))
+
+
+def amendment_groups(
+    work: DataFrame, fold_limit: int = FOLD_LIMIT, tail_rows: int = TAIL_ROWS
+) -> DataFrame:
+    """The flags of rows that all take part."""
     small, large = split_by_group_size(work, GROUP, fold_limit)
     out = _fold(small)
     if large is not None:
         out = out.unionByName(_join_rounds(large, tail_rows))
-    return out.unionByName(skipped.select(*rows.columns, *_flags(F.lit(None).cast("bigint"))))
+    return out
 
 
 def linked_pairs(rows: DataFrame) -> DataFrame:

@@ -140,16 +140,25 @@ def accepted_rows(
 
     `ord` is a unique struct of two sortable fields. `write_1` must equal `read_1`,
     which lets rows with equal read keys be reduced to their first one before anything
-    is joined. All key structs hold the `group` fields. With no more than `tail_rows` open
+    is joined. This takes two steps: rows that differ in the second field of `ord` alone are
+    reduced by the least number, for which nothing is sorted, and the few others by the
+    least struct; columns beside the keys should not repeat that field. All key structs hold the `group` fields. With no more than `tail_rows` open
     rows in all, each group's rest is walked in order; components are split off after
     every `rounds` rounds.
     """
-    rest = [c for c in candidates.columns if c not in ("ord", "read_1", "read_2")]
+    rest = [c for c in candidates.columns if c not in ("ord", "read_1", "read_2", "write_1")]
     order = candidates.schema["ord"].dataType.fieldNames()
+    a, b = order
+    keys = ["_hash", "read_1", "read_2"]
+    alike = (
+        candidates.withColumn("_hash", F.xxhash64("read_1", "read_2"))
+        .groupBy(*keys, F.col(f"ord.{a}").alias(a), *rest)
+        .agg(F.min(f"ord.{b}").alias(b))
+    )
     open_rows = cut_lineage(
-        candidates.groupBy(F.xxhash64("read_1", "read_2").alias("_hash"), "read_1", "read_2")
-        .agg(F.min(F.struct("ord", *rest)).alias("row"))
-        .select("read_1", "read_2", "row.*")
+        alike.groupBy(*keys)
+        .agg(F.min(F.struct(F.struct(a, b).alias("ord"), *rest)).alias("row"))
+        .select("read_1", F.col("read_1").alias("write_1"), "read_2", "row.*")
     )
     accepted, done = [], 0
     while not at_most(open_rows, tail_rows):

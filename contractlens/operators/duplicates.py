@@ -133,7 +133,7 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
         purchase.alias("write_1"),
         reference.alias("read_2"),
         reference.alias("write_2"),
-        F.struct("id", "gen_vendor_normalized", "gen_start_year").alias("info"),
+        F.struct("gen_vendor_normalized", "gen_start_year").alias("info"),
     )
     kept = accepted_rows(candidates, GROUP, tail_rows).select("ord", "write_1", "write_2", "info")
     by_purchase = kept.select(
@@ -153,7 +153,7 @@ def _join_rounds(rows: DataFrame, tail_rows: int) -> DataFrame:
     by_one = one.isNotNull() & (two.isNull() | (one["ord"] <= two["ord"]))
     keeper = F.when(by_one, one).otherwise(two)
     # a kept row finds itself first; only an earlier row is a keeper
-    source = F.when(keeper["ord"] < F.col("_o"), keeper["info"]["id"])
+    source = F.when(keeper["ord"] < F.col("_o"), keeper["ord"]["id"])
     via = (
         F.when(by_one, 1)
         .when(

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.operators import amendments, duplicates, effective
-from contractlens.operators.amendments import find_amendments
+from contractlens.operators.amendments import amendment_groups, find_amendments, taking_part, ungrouped
 from contractlens.operators.duplicates import find_duplicates
-from contractlens.operators.effective import effective_values
+from contractlens.operators.effective import effective_values, regular_values
 from contractlens.operators.flags import reset_generated
 from contractlens.operators.grouping import all_equal
 from contractlens.schema import GENERATED
@@ -30,6 +30,8 @@ KEYS = [
     "gen_end_year",
     "gen_is_error",
 ]
+# A few short columns: carrying them through the rules costs less than a join back by id.
+CARRIED = ["vendor_name", "source_quarter", "source_origin", "gen_error_via"]
 ACTIONS = ("reset", "duplicates", "amendments", "amendmentvalues", "regularvalues", "all")
 
 
@@ -37,11 +39,14 @@ def _derive(rows: DataFrame) -> DataFrame:
     """Duplicates, then amendment groups, then effective values.
 
     Each step reads its input more than once, so the narrow rows are written to the
-    shared folder in between instead of being derived again.
+    shared folder in between instead of being derived again. Duplicates and errors take no
+    part in the later steps: they are not written again, and get their columns by one
+    projection.
     """
     marked = cut_lineage(find_duplicates(rows))
-    linked = cut_lineage(find_amendments(marked))
-    return effective_values(linked)
+    work, others = taking_part(marked)
+    linked = cut_lineage(amendment_groups(work))
+    return effective_values(linked).unionByName(regular_values(ungrouped(others)))
 
 
 def metadata_flags(rows: DataFrame) -> DataFrame:
@@ -53,8 +58,7 @@ def update_all_metadata(rows: DataFrame) -> DataFrame:
     """Rows with fresh derived columns: narrow rules, then one join back by id."""
     kept = [c for c in rows.columns if c not in GENERATED.names]
     base = rows.select(*kept)
-    if set(kept) <= set(KEYS) | {"source_quarter", "source_origin"}:
-        # narrow already: carrying the few extra columns beats a join
+    if set(kept) <= {*KEYS, *CARRIED}:
         return _derive(base).select(*kept, *GENERATED.names)
     flags = metadata_flags(base)
     return base.join(shuffled(flags), "id").select(*kept, *GENERATED.names)

@@ -457,3 +457,44 @@ def test_tasks_that_write_record_files_sort_a_bounded_share(spark, tmp_path):
     written = spark.read.text(path, recursiveFileLookup=True).groupBy(task).count().collect()
     assert sum(r["count"] for r in written) == 15_000
     assert max(r["count"] for r in written) < 3_000
+
+
+def test_rows_out_of_the_amendment_rules_are_written_once(spark, monkeypatch):
+    """Owner filter and yearly totals wait for the stored tables: duplicates and errors, which
+    may be most rows, are not written again, and short columns need no join back by id."""
+    rows = inputs.flagged(spark, "/root/testdata/sf0.001").drop("row_created_at")
+    written, plain = [], metadata.cut_lineage
+
+    def cut(df):
+        out = plain(df)
+        written.append(out.count())
+        return out
+
+    joined = []
+    monkeypatch.setattr(metadata, "cut_lineage", cut)
+    monkeypatch.setattr(metadata, "metadata_flags", joined.append)
+    out = metadata.update_all_metadata(rows)
+    part = out.filter("NOT gen_is_duplicate AND NOT gen_is_error AND source_fiscal IS NOT NULL").count()
+    assert written == [rows.count(), part] and part < rows.count()
+    assert not joined
+
+
+def test_wide_columns_stay_out_of_the_rules(spark):
+    rows = inputs.flagged(spark, "/root/testdata/sf0.001")
+    wide = metadata.update_all_metadata(rows.withColumn("description", F.lit("x")))
+    plain = metadata.update_all_metadata(rows)
+    assert sorted(map(str, wide.drop("description").collect())) == sorted(map(str, plain.collect()))
+
+
+def test_equal_keys_are_reduced_without_sorting_all_rows(spark, monkeypatch):
+    plans, plain = [], claims.cut_lineage
+    monkeypatch.setattr(claims, "cut_lineage", lambda df: plans.append(df) or plain(df))
+    rows = staircases(3, 8)
+    copies = [(i + 100, *row[1:]) for i, row in enumerate(rows)] + [(i + 200, *row[1:2], "2010-Q2", *row[3:]) for i, row in enumerate(rows)]
+    df = spark.createDataFrame(rows + copies, COLUMNS).repartition(4)
+    out = duplicates.find_duplicates(df, 20, 1000).filter("gen_is_duplicate")
+    got = {r.id: (r.gen_duplicate_via, r.gen_duplicate_source_id) for r in out.collect()}
+    assert got == brute.duplicates(as_dicts(rows + copies))
+    # from the bottom up, the first aggregates take numbers and need no sort
+    steps = [line for line in plans[0]._jdf.queryExecution().sparkPlan().toString().split("\n") if "Aggregate" in line]
+    assert "HashAggregate" in steps[-1] and "HashAggregate" in steps[-2]
